@@ -78,7 +78,8 @@ def format_clock(seconds: Column) -> Column:
     """``HH:MM:SS`` with the hours counting past 24."""
     hours = F.floor(seconds / 3600).cast("int")
     minutes = F.floor((seconds % 3600) / 60).cast("int")
-    return F.concat_ws(":", _two_digits(hours), _two_digits(minutes), _two_digits(seconds % 60))
+    parts = (_two_digits(hours), _two_digits(minutes), _two_digits(seconds % 60))
+    return F.when(seconds.isNotNull(), F.concat_ws(":", *parts))
 
 
 def service_day(text: Column) -> Column:

@@ -150,11 +150,14 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 
 def _weight(kind: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("weight"))), F.lit(0))
+    """Facts that have this value; the first kind also keeps rows without one."""
+    held = (F.col("kind") == kind) & F.col("number").isNotNull()
+    return F.coalesce(F.sum(F.when(held, F.col("weight"))), F.lit(0))
 
 
 def _weighted(kind: str, expression: Column, cast: str) -> Column:
-    return F.sum(F.when(F.col("kind") == kind, expression.cast(cast) * F.col("weight")))
+    held = (F.col("kind") == kind) & F.col("number").isNotNull()
+    return F.sum(F.when(held, expression.cast(cast) * F.col("weight")))
 
 
 def _percentile(share: float) -> Callable[[], Column]:

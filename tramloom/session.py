@@ -21,6 +21,8 @@ RUNTIME_SETTINGS = {
     # Lets the rebalance before a partitioned write cut hot partitions up.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # The JVM leaves larger methods uncompiled; splitting such a stage is far faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _own_dirs: dict[str, str] = {}

@@ -22,6 +22,9 @@ from tramloom.plans import oracle, tpch_feed as fx
 from tramloom.plans.build import Cube
 from tramloom.session import prepare, shared_dir
 from tramloom.sources import dataset
+from tramloom.streaming import events as live
+from tramloom.streaming import stateful
+from tramloom.streaming import windows as live_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +41,7 @@ def query(name: str, sql: str | None = None):
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = oracle.with_ctes(sql)
+            ORACLE[name] = sql if sql.startswith("with ") else oracle.with_ctes(sql)
         return build
 
     return register
@@ -781,3 +784,77 @@ def _scenario_delay(spark, sf_dir):
     return found.where(F.col("measured_stops") > 0)
 
 
+
+
+# --- streaming ------------------------------------------------------------
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = fx.table(spark, sf_dir, "events").schema
+    return fx.as_events(live.file_stream(spark, sf_dir, schema, "events.parquet"))
+
+
+def _observed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.observed_calls(_event_stream(spark, sf_dir))
+
+
+def _stream_windows(size: str) -> Query:
+    def run(spark, sf_dir):
+        windows = live_windows.rolling_stream(_observed_stream(spark, sf_dir), "route_key", size)
+        return _shown_windows(live.run_available(windows, "update", ["route_key", "window_start"]))
+
+    return run
+
+
+for _size in rt.ROLLING:
+    query(f"stream_windows_{_size}", _rolling_sql("route_key", _size))(_stream_windows(_size))
+
+
+@query("stream_anomalies", ORACLE["anomalies"])
+def _stream_anomalies(spark, sf_dir):
+    windows = live_windows.rolling_stream(_observed_stream(spark, sf_dir), "route_key", "24h")
+    baseline = rt.delay_baseline(fx.observed(spark, sf_dir))
+    alerts = live_windows.anomaly_stream(windows, baseline, threshold=60, observations=5)
+    return live.run_available(alerts, "update", ["route_key", "window_start"])
+
+
+@query("stream_distinct_events", "select event_id, route_key from observed")
+def _stream_distinct_events(spark, sf_dir):
+    twice = _observed_stream(spark, sf_dir).unionByName(_observed_stream(spark, sf_dir))
+    return live.run_available(
+        live_windows.distinct_events(twice), "append").select("event_id", "route_key")
+
+
+@query("stream_poll_diff", ORACLE["poll_diff"])
+def _stream_poll_diff(spark, sf_dir):
+    polls = fx.polls(_event_stream(spark, sf_dir))
+    return live.run_available(stateful.poll_diff_stream(
+        polls, ["vehicle", "service_date"], ["zone", "schedule_relationship"]), "append")
+
+
+@query("stream_headway", f"""
+    select event_id, headway::bigint::varchar as headway_seconds from ({_HEADWAY})""")
+def _stream_headway(spark, sf_dir):
+    gaps = stateful.headway_stream(_observed_stream(spark, sf_dir), list(rt.HEADWAY_KEY))
+    return live.run_available(gaps, "append").select("event_id", text("headway_seconds"))
+
+
+@query("stream_health", ORACLE["stale_feeds"])
+def _stream_health(spark, sf_dir):
+    stale = live_windows.health_stream(fx.polls(_event_stream(spark, sf_dir)))
+    return live.run_available(stale, "append").select("vehicle", "polled_at", "age_seconds")
+
+
+@query("stream_wire", """
+    select event_id, service_date::varchar as service_date, route_key, direction_id::varchar
+      as direction_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as actual_arrival,
+      delay_seconds::varchar as delay_seconds, schedule_relationship, 0::bigint as malformed
+    from observed""")
+def _stream_wire(spark, sf_dir):
+    """Rendered to the wire format and parsed again on the stream."""
+    messages = live.render_stop_events(_observed_stream(spark, sf_dir)).select("value")
+    parsed = live.parse_stop_events(messages).select(
+        "event_id", "service_date", "route_key", text("direction_id"), "actual_arrival",
+        text("delay_seconds"), "schedule_relationship",
+        F.col("malformed").isNotNull().alias("malformed"))
+    return live.run_available(parsed, "append")

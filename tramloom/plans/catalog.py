@@ -6,6 +6,7 @@ engines print the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,10 +74,26 @@ def text(column: str) -> Column:
 # --- shared inputs --------------------------------------------------------
 
 
-def _facts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    feed = fx.feed(spark, sf_dir)
-    agencies = fx.agencies(spark, sf_dir)
-    return schedule.resolve_schedule(feed, agencies, zones=fx.ZONES, **options)
+_built: dict[tuple[str, str, str], str] = {}
+
+
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schedule.resolve_schedule(
+        fx.feed(spark, sf_dir), fx.agencies(spark, sf_dir), zones=fx.ZONES)
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    """A table built once per session in the shared folder, as a cube opens a dataset."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _built:
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        build(spark, sf_dir).write.parquet(path)
+        _built[key] = path
+    return spark.read.parquet(_built[key])
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "facts", _resolved)
 
 
 def _service_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,12 +119,16 @@ def _cube(spark: SparkSession, sf_dir: str) -> Cube:
     return Cube(_facts(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
-def _stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _facts(spark, sf_dir)
     agencies = fx.agencies(spark, sf_dir)
     return rt.stop_events(facts, fx.updates(spark, sf_dir, facts), agencies)
 
 
+def _stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "stop_events", _filled)
+
+
 def _delay_cube(spark: SparkSession, sf_dir: str) -> Cube:
     return Cube(_stop_events(spark, sf_dir), _dimensions(spark, sf_dir))
 
@@ -194,7 +215,7 @@ def _service_date_for(spark, sf_dir):
           list_transform(string_split(agency_id || chr(31) || service_date || chr(31) || trip_id
             || chr(31), ''), lambda c: ascii(c)::hugeint)) as s from facts)""")
 def _event_id(spark, sf_dir):
-    return _facts(spark, sf_dir).select(
+    return _resolved(spark, sf_dir).select(
         "event_id", "agency_id", "service_date", "trip_id", "stop_sequence")
 
 
@@ -269,7 +290,7 @@ def _empty_services(spark, sf_dir):
       local_hour::bigint as local_hour, service_period, overnight::bigint as overnight
     from facts""")
 def _resolve_schedule(spark, sf_dir):
-    facts = _facts(spark, sf_dir)
+    facts = _resolved(spark, sf_dir)
     skipped = ("event_id", *fx_realtime)
     return facts.drop(*skipped).withColumn("direction_id", text("direction_id"))
 
@@ -432,8 +453,6 @@ def _calendar_dim(spark, sf_dir):
 @query("dimension_roundtrip", "select stop_key, station_name, borough from stops_d")
 def _dimension_roundtrip(spark, sf_dir):
     """Written per agency to the shared folder and read back."""
-    import uuid
-
     root = f"{shared_dir(spark)}/dataset-{uuid.uuid4().hex}"
     feed = fx.feed(spark, sf_dir)
     stops = dims.stop_dimension(feed, fx.boundaries(spark, sf_dir))
@@ -575,7 +594,7 @@ def _realtime_match(spark, sf_dir):
       schedule_relationship, is_cancelled::bigint::varchar as is_cancelled, vehicle_id
     from stop_ev""")
 def _stop_events_query(spark, sf_dir):
-    return _stop_events(spark, sf_dir).select(
+    return _filled(spark, sf_dir).select(
         "service_date", "agency_id", "trip_id", "stop_sequence", "actual_arrival",
         text("delay_seconds"), "schedule_relationship",
         F.col("is_cancelled").cast("int").cast("string").alias("is_cancelled"), "vehicle_id")
@@ -828,15 +847,18 @@ def _stream_distinct_events(spark, sf_dir):
 @query("stream_poll_diff", ORACLE["poll_diff"])
 def _stream_poll_diff(spark, sf_dir):
     polls = fx.polls(_event_stream(spark, sf_dir))
-    return live.run_available(stateful.poll_diff_stream(
-        polls, ["vehicle", "service_date"], ["zone", "schedule_relationship"]), "append")
+    running, results = stateful.poll_diff_stream(
+        polls, ["vehicle", "service_date"], ["zone", "schedule_relationship"])
+    running.awaitTermination()
+    return results()
 
 
 @query("stream_headway", f"""
     select event_id, headway::bigint::varchar as headway_seconds from ({_HEADWAY})""")
 def _stream_headway(spark, sf_dir):
-    gaps = stateful.headway_stream(_observed_stream(spark, sf_dir), list(rt.HEADWAY_KEY))
-    return live.run_available(gaps, "append").select("event_id", text("headway_seconds"))
+    running, results = stateful.headway_stream(_observed_stream(spark, sf_dir))
+    running.awaitTermination()
+    return results().select("event_id", text("headway_seconds"))
 
 
 @query("stream_health", ORACLE["stale_feeds"])

@@ -1,116 +1,131 @@
-"""Per-key state across batches: poll differences and headways.
+"""Operators that remember the last row of a key across batches.
 
-Only the last row of a key is kept as state.  Both need the RocksDB state store.
+Each batch runs the batch operator and is joined to a small table with the last row
+per key, kept in the shared folder under the batch's number.  A repeated batch reads
+the state before it and writes the same result again.  Everything stays in joins,
+groupings and bounded windows, so a key that fills a batch is no special case.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Keys that stay silent this long are forgotten.
-STATE_TTL_MS = 48 * 3600 * 1000
+from tramloom.functions import delay as delays
+from tramloom.operators import realtime as rt
+from tramloom.session import shared_dir
 
+#: Keys silent for this long are forgotten.
+FORGET_SECONDS = 48 * 3600
 
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+#: (batch rows, last rows) -> (result rows, new last rows with a ``second`` column)
+Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def _in_order(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    """All rows of one key in one batch, sorted.
+def run_with_state(
+    stream: DataFrame, step: Step, result: T.StructType, state: T.StructType,
+    root: str | None = None, available_now: bool = True,
+):
+    """Start a query that carries ``state`` from batch to batch.
 
-    Their number is limited where the stream is read, by the files or offsets a
-    batch may take in.
+    Returns (query, function reading the results so far).
     """
-    return pd.concat(list(rows), ignore_index=True).sort_values(list(order))
+    spark = stream.sparkSession
+    root = root or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
+    def last_rows(number: int) -> DataFrame:
+        if number < 0:
+            return spark.createDataFrame([], state)
+        return spark.read.schema(state).parquet(f"{root}/state/batch={number}")
 
-class _LastPayload(StatefulProcessor):
-    """Keeps rows whose payload differs from the one before."""
+    def store(batch: DataFrame, number: int) -> None:
+        rows, kept = step(batch, last_rows(number - 1))
+        # A one-row horizon joins without a shuffle; it only drops silent keys.
+        newest = kept.agg(F.max("second").alias("newest")).head().newest
+        if newest is not None:
+            kept = kept.where(F.col("second") > newest - FORGET_SECONDS)
+        rows.write.mode("overwrite").parquet(f"{root}/table/batch={number}")
+        kept.write.mode("overwrite").parquet(f"{root}/state/batch={number}")
 
-    def __init__(self, key: list[str], time: str, payload: list[str]) -> None:
-        self._key, self._time, self._payload = key, time, payload
+    writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint")
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    query = writer.foreachBatch(store).start()
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "micros bigint, payload string", STATE_TTL_MS)
+    def results() -> DataFrame:
+        stored = spark.read.schema(result).option("basePath", f"{root}/table")
+        return stored.parquet(f"{root}/table/batch=*").select(*result.names)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
-        polls = _in_order(rows, "micros")
-        last = "\x01"
-        if self._last.exists():
-            at, last = self._last.get()
-            # A row older than the last one seen arrived out of order: not a change.
-            polls = polls[polls["micros"] >= at]
-        if polls.empty:
-            return
-        parts = [
-            polls[c].map(lambda v: "\x00" if pd.isna(v) else str(v)) for c in self._payload
-        ]
-        text = parts[0]
-        for part in parts[1:]:
-            text = text + "\x1f" + part
-        changed = text != text.shift(fill_value=last)
-        self._last.update((int(polls["micros"].iloc[-1]), text.iloc[-1]))
-        yield polls.loc[changed, [*self._key, self._time, *self._payload]]
+    return query, results
 
-    def close(self) -> None:
-        pass
+
+def _fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
+    return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
 
 def poll_diff_stream(
-    polls: DataFrame, key: list[str], payload: list[str], time: str = "polled_at"
-) -> DataFrame:
-    """Updates that differ from the previous poll of their key, across batches."""
-    use_rocksdb(polls.sparkSession)
+    polls: DataFrame, key: list[str], payload: list[str], time: str = "polled_at", **options
+):
+    """Updates that differ from the previous poll of their key, across batches.
+
+    A poll not newer than the last one of an earlier batch is late and no change.
+    """
     columns = [*key, time, *payload]
-    schema = T.StructType([polls.schema[c] for c in columns])
-    timed = polls.select(*columns, F.unix_micros(time).alias("micros"))
-    return timed.groupBy(*key).transformWithStateInPandas(
-        _LastPayload(key, time, payload), schema, "Append", "ProcessingTime"
-    )
-
-
-class _LastArrival(StatefulProcessor):
-    """Seconds since the previous arrival of the key."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "second bigint", STATE_TTL_MS)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
-        arrivals = _in_order(rows, "second", "event_id")
-        before = arrivals["second"].shift(1).astype("Int64")
-        newest = int(arrivals["second"].iloc[-1])
-        if self._last.exists():
-            (last,) = self._last.get()
-            # Behind the last arrival of an earlier batch the gap runs from that one; a
-            # late arrival before it has an unknown gap.
-            late = arrivals["second"] < last
-            before = before.where(before >= last, last).mask(late)
-            newest = max(newest, last)
-        self._last.update((newest,))
-        gap = (arrivals["second"] - before).astype("Int32")
-        yield pd.DataFrame({"event_id": arrivals["event_id"], "headway_seconds": gap})
-
-    def close(self) -> None:
-        pass
-
-
-_HEADWAY = T.StructType([
-    T.StructField("event_id", T.StringType()), T.StructField("headway_seconds", T.IntegerType()),
-])
-
-
-def headway_stream(events: DataFrame, key: list[str]) -> DataFrame:
-    """Event id and seconds since the previous vehicle of the key, across batches."""
-    use_rocksdb(events.sparkSession)
-    second = F.unix_seconds("actual_arrival").alias("second")
-    timed = events.where(F.col("actual_arrival").isNotNull())
-    return timed.select(*key, "event_id", second).groupBy(*key).transformWithStateInPandas(
-        _LastArrival(), _HEADWAY, "Append", "ProcessingTime"
-    )
+    result = T.StructType(_fields(polls, columns))
+    state = T.StructType([*result.fields, T.StructField("second", T.LongType())])
+    second = delays.epoch_second(F.col(time))
+
+    def step(batch: DataFrame, last: DataFrame) -> tuple[DataFrame, DataFrame]:
+        known = last.select(*key, F.col("second").alias("last_second"))
+        fresh = batch.select(*columns).join(known, key, "left").where(
+            F.col("last_second").isNull() | (second > F.col("last_second"))
+        )
+        together = last.select(*columns).unionByName(fresh.select(*columns))
+        changed = rt.changed_between_polls(together, key, payload, time)
+        rows = changed.join(last.select(*key, time), [*key, time], "left_anti")
+        newest = F.max_by(F.struct(time, *payload), time).alias("latest")
+        kept = together.groupBy(*key).agg(newest).select(*key, "latest.*")
+        return rows.select(*columns), kept.withColumn("second", second).select(*state.names)
+
+    return run_with_state(polls, step, result, state, **options)
+
+
+def headway_stream(events: DataFrame, **options):
+    """Event id and seconds since the previous vehicle of its key, across batches.
+
+    An arrival before the last one of an earlier batch is late; its gap is unknown.
+    """
+    key = list(rt.HEADWAY_KEY)
+    result = T.StructType([
+        T.StructField("event_id", T.StringType()),
+        T.StructField("headway_seconds", T.IntegerType()),
+    ])
+    state = T.StructType([*_fields(events, key), T.StructField("second", T.LongType())])
+
+    def step(batch: DataFrame, last: DataFrame) -> tuple[DataFrame, DataFrame]:
+        second = delays.epoch_second(F.col("actual_arrival"))
+        timed = rt.with_headway(batch).where(F.col("actual_arrival").isNotNull())
+        timed = timed.withColumn("second", second)
+        before = last.withColumnRenamed("second", "before").alias("last")
+        same = [F.col(f"now.{k}").eqNullSafe(F.col(f"last.{k}")) for k in key]
+        met = timed.alias("now").join(before, same, "left")
+        # Inside the batch the gap is known; the first arrival looks at the batch before.
+        gap = (
+            F.when(F.col("before").isNull(), F.col("headway_seconds"))
+            .when(F.col("second") < F.col("before"), F.lit(None).cast("int"))
+            .when(F.col("headway_seconds").isNull()
+                  | (F.col("second") - F.col("headway_seconds") < F.col("before")),
+                  F.col("second") - F.col("before"))
+            .otherwise(F.col("headway_seconds"))
+        )
+        rows = met.select("event_id", gap.cast("int").alias("headway_seconds"))
+        kept = last.unionByName(timed.select(*key, "second")).groupBy(*key).agg(
+            F.max("second").alias("second")
+        )
+        return rows, kept.select(*state.names)
+
+    return run_with_state(events, step, result, state, **options)

@@ -733,8 +733,8 @@ def _baseline(spark, sf_dir):
     return rt.delay_baseline(fx.observed(spark, sf_dir))
 
 
-#: The test data has a few events per slot, so the floor of 20 observations is kept
-#: by judging the 24-hour windows.
+# The test data has few events per slot, so this query passes lower limits than the
+# defaults of 120 seconds and 20 observations.
 @query("anomalies", f"""
     select route_key, {oracle.stamp('w')} as window_start, {oracle.stamp('w + 86400')}
       as window_end, x.n as measured_events, round(mean, 4) as mean_delay,

@@ -109,7 +109,7 @@ def close_pairs(codes: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarr
         if depth < len(levels) - 1:
             a, b = np.repeat(a * FAN, FAN * FAN), np.repeat(b * FAN, FAN * FAN)
             a += np.tile(np.repeat(np.arange(FAN), FAN), len(a) // (FAN * FAN))
-            b += np.tile(np.arange(FAN), len(b) // (FAN * FAN))
+            b += np.tile(np.arange(FAN), len(b) // FAN)
             there = (a <= b) & (b < len(low))
             a, b = a[there], b[there]
         # Bits that all members of a group have, or all lack, and in which the groups differ.

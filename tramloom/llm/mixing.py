@@ -23,7 +23,7 @@ REPEATS = 2
 #: Words of a block.  Quotas are whole blocks, so a source misses its target by half a block.
 BLOCK_WORDS = 8
 #: Documents of a shard, about.
-SHARD_ROWS = 20_000
+SHARD_ROWS = 2_000
 SEED = 7
 
 

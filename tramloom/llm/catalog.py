@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tramloom.llm.line_dedup import op4_line_dedup
 from tramloom.llm.mixing import op2_mixing
 from tramloom.llm.packing import op6_packing
 from tramloom.llm.simhash import op5_simhash
+from tramloom.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
 }

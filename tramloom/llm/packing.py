@@ -32,7 +32,7 @@ CAPACITY = 1024
 END_ID = 2
 ROUNDS = 300
 #: Pieces of one length numbered by one task.
-NUMBERED_ROWS = 50_000
+NUMBERED_ROWS = 5_000
 
 
 # ------------------------------------------------------------------ pieces

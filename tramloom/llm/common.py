@@ -95,7 +95,8 @@ def split_hot(rows: DataFrame, keys: Sequence[str], member: str, most: int) -> D
     Groups of one member vanish.  A group of up to ``most`` rows stays whole.  A larger one
     is cut into k parts by a hash of ``member``, and each pair of parts (k (k + 1) / 2 of
     them) becomes a group of its own: every pair of members meets, no task gets more than
-    about twice ``most`` rows.  Adds the columns ``part_a`` and ``part_b``.
+    about twice ``most`` rows.  Adds the columns ``part_a`` and ``part_b``, and ``part``, the
+    row's own one of the two.
     """
     together = Window.partitionBy(*keys)
     counted = rows.withColumn("_n", F.count(F.lit(1)).over(together)).where("_n > 1")
@@ -106,7 +107,7 @@ def split_hot(rows: DataFrame, keys: Sequence[str], member: str, most: int) -> D
         lambda other: F.struct(F.least(own, other).alias("a"), F.greatest(own, other).alias("b")),
     )
     return counted.select("*", F.explode(pairs).alias("_p")).select(
-        *rows.columns, F.col("_p.a").alias("part_a"), F.col("_p.b").alias("part_b"))
+        *rows.columns, F.col("_p.a").alias("part_a"), F.col("_p.b").alias("part_b"), own.alias("part"))
 
 
 def roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:

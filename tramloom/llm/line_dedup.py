@@ -230,7 +230,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
         "doc_id", "text_hash", "line_no", F.coalesce("component", "h").alias("class"))
     placed = scratch.save(placed, "placed")
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line_no")
-    first = placed.groupBy("class").agg(F.min(order).alias("first"))
+    # Written, so that both sides of the join are plain exchanges and a hot class can be split.
+    first = scratch.save(placed.groupBy("class").agg(F.min(order).alias("first")), "first")
     return placed.join(first, "class").select(
         "doc_id", "text_hash", "line_no", F.col("first.doc_id").alias("class_doc_id"),
         F.col("first.line_no").alias("class_line_no"),

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramloom.llm.common import Scratch, read_table, shuffle_partitions
 
@@ -83,13 +84,13 @@ def _texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def sketch_column(texts: pa.Array) -> pa.Array:
     """A text column's sketches, as little-endian unsigned 32-bit hashes in order."""
     return pa.array([sketch(t).astype("<u4").tobytes() for t in _texts(texts)], pa.binary())
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def likeness(left: pa.Array, right: pa.Array) -> pa.Array:
     """Jaccard likeness of two columns of sketches."""
     pairs = zip(left.to_pylist(), right.to_pylist(), strict=True)
@@ -97,7 +98,7 @@ def likeness(left: pa.Array, right: pa.Array) -> pa.Array:
                     pa.float64())
 
 
-@F.arrow_udf("struct<in_other: double, of_other: double>")
+@F.arrow_udf(T.StructType().add("in_other", T.DoubleType()).add("of_other", T.DoubleType()))
 def containment(left: pa.Array, right: pa.Array) -> pa.Array:
     """Shares of either sketch's text that the other one contains."""
     pairs = zip(left.to_pylist(), right.to_pylist(), strict=True)

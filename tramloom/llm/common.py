@@ -51,6 +51,16 @@ class Scratch:
             pass
 
 
+def sealed(rows: DataFrame) -> DataFrame:
+    """All columns as one struct ``row``, so that none can clash with a helper column."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+
+
+def opened(rows: DataFrame, columns: Sequence[str], **changed: Column) -> DataFrame:
+    """The columns of a sealed ``row`` again, some of them changed."""
+    return rows.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in columns])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import Scratch, components, read_table, split_hot, whole_groups
+from tramloom.llm.common import (
+    Scratch, components, opened, read_table, sealed, split_hot, whole_groups)
 
 EDITS = 2
 #: Shorter lines are never duplicates: they are too often alike by chance.
@@ -249,19 +250,17 @@ def without_duplicate_lines(docs: DataFrame, edits: int = EDITS, least_chars: in
     gone = line_classes(docs, edits, least_chars).where(~F.col("kept")).groupBy(
         F.col("doc_id").alias("_gid"), F.col("text_hash").alias("_ghash")).agg(
         F.collect_set("line_no").alias("_gone"))
-    joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gid"))
-                       & (F.xxhash64("text") == F.col("_ghash")), "left")
-    lines = F.split("text", "\n")
+    joined = sealed(docs).join(gone, F.col("row.doc_id").cast("long").eqNullSafe(F.col("_gid"))
+                               & (F.xxhash64("row.text") == F.col("_ghash")), "left")
+    whole, same = F.col("row.text"), F.col("_gone").isNull()
+    lines = F.split(whole, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    cut = joined.withColumn("_text", text).where(
-        F.col("_gone").isNull() | (F.length(F.trim("_text", F.lit(" \t\r\n"))) > 0))
-    columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("_text")}
+    text = F.when(same, whole).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    cut = joined.withColumn("text", text).where(same | (F.length(F.trim("text", F.lit(" \t\r\n"))) > 0))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(
-            F.length("_text").cast("long"))
-    return cut.select(*[columns[c].alias(c) for c in docs.columns])
+        changed["n_chars"] = F.when(same, F.col("row.n_chars")).otherwise(F.length("text").cast("long"))
+    return opened(cut, docs.columns, **changed)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

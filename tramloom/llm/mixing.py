@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import SPACES, Scratch, n_words, read_table
+from tramloom.llm.common import SPACES, Scratch, n_words, opened, read_table, sealed
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -151,27 +151,27 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     take no part in a mix and stay as they are.  n_chars, where there is such a column, is
     that of the new text.
     """
-    marked = docs.withColumns({
-        "_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text"), "_size": n_words(F.col("text"))})
-    key = ["_id", "_text", "source"]
-    rows = marked.groupBy(*key, F.col("_size")).agg(F.count(F.lit(1)).alias("_n"))
+    marked = sealed(docs).select(
+        "row", F.col("row.doc_id").cast("long").alias("_id"), F.xxhash64("row.text").alias("_text"),
+        F.col("row.source").alias("_source"), n_words(F.col("row.text")).alias("_size"))
+    rows = marked.groupBy("_id", "_text", "_source", "_size").agg(F.count(F.lit(1)).alias("_n"))
     taken = mix(rows.select(
-        F.col("_id").alias("doc_id"), "source", (F.col("_size") * F.col("_n")).alias("size"), "_text", "_n"))
+        F.col("_id").alias("doc_id"), F.col("_source").alias("source"),
+        (F.col("_size") * F.col("_n")).alias("size"), "_text", "_n"))
     each = taken.select(
         F.col("doc_id").alias("_tid"), F.col("_text").alias("_ttext"), F.col("source").alias("_tsource"),
         F.floor(F.col("taken") / F.col("_n")).alias("_taken"))
     joined = marked.join(
-        each, marked["_id"].eqNullSafe(each["_tid"]) & (marked["_text"] == each["_ttext"])
-        & marked["source"].eqNullSafe(each["_tsource"]))
-    words = F.greatest(F.col("_size"), F.lit(1))
+        each, F.col("_id").eqNullSafe(F.col("_tid")) & (F.col("_text") == F.col("_ttext"))
+        & F.col("_source").eqNullSafe(F.col("_tsource")))
+    text, words = F.col("row.text"), F.greatest(F.col("_size"), F.lit(1))
     times, rest = F.floor(F.col("_taken") / words), F.col("_taken") % words
-    start = F.array_join(F.slice(F.array_remove(F.split("text", SPACES), ""), F.lit(1), rest.cast("int")), " ")
-    texts = F.when(F.col("_size") == 0, F.array(F.col("text"))).otherwise(F.concat(
-        F.array_repeat(F.col("text"), times.cast("int")),
+    start = F.array_join(F.slice(F.array_remove(F.split(text, SPACES), ""), F.lit(1), rest.cast("int")), " ")
+    texts = F.when(F.col("_size") == 0, F.array(text)).otherwise(F.concat(
+        F.array_repeat(text, times.cast("int")),
         F.when(rest > 0, F.array(start)).otherwise(F.array().cast("array<string>"))))
-    out = joined.withColumn("_out", F.explode(texts))
-    columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("_out")}
+    changed = {"text": F.col("_out")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_out").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(
+        changed["n_chars"] = F.when(F.col("_out").eqNullSafe(text), F.col("row.n_chars")).otherwise(
             F.length("_out").cast("long"))
-    return out.select(*[columns[c].alias(c) for c in docs.columns])
+    return opened(joined.withColumn("_out", F.explode(texts)), docs.columns, **changed)

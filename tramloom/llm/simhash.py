@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramloom.llm.common import (
-    Scratch, components, read_table, roots, split_hot, whole_groups)
+    Scratch, components, opened, read_table, roots, sealed, split_hot, whole_groups)
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -226,10 +226,10 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     winners = scratch.save(
         winners.join(often, (F.col("_fp") == F.col("_ofp")) & F.col("_id").eqNullSafe(F.col("_oid")))
         .select("_ofp", "_oid", "_n"), "winners")
-    kept = docs.withColumns({"_fp": mark("text"), "_id": F.col("doc_id").cast("long")}).join(
+    kept = sealed(docs).withColumns({"_fp": mark("row.text"), "_id": F.col("row.doc_id").cast("long")}).join(
         winners, (F.col("_fp") == F.col("_ofp")) & F.col("_id").eqNullSafe(F.col("_oid")))
     once, more = kept.where("_n = 1"), kept.where("_n > 1").dropDuplicates(["_fp", "_id"])
-    return once.select(*docs.columns).union(more.select(*docs.columns))
+    return opened(once, docs.columns).union(opened(more, docs.columns))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

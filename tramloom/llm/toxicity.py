@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramloom.llm.common import read_table
+from tramloom.llm.common import opened, read_table, sealed
 
 BUCKETS = 1 << 18
 FACTORS = 6
@@ -213,4 +213,5 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored below ``threshold``, with the same columns."""
     score = score_column(train(docs, labels))
-    return docs.withColumn("_score", score("text")).where(F.col("_score") < threshold).select(*docs.columns)
+    kept = sealed(docs).withColumn("score", score("row.text")).where(F.col("score") < threshold)
+    return opened(kept, docs.columns)

@@ -40,7 +40,7 @@ STEM_CHARS = (4, 5)
 #: Score of everything if nothing can be learnt.
 NO_MODEL_BIAS = -4.0
 _EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_CACHE_ENTRIES = 400_000
+_CACHE_ENTRIES = 200_000
 
 
 def word_buckets(word: bytes) -> tuple[int, ...]:
@@ -193,11 +193,18 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, **se
     return fit(rows, np.array(sample.column("_toxic").to_pylist(), float), **settings)
 
 
-def score_column(model: Model):
-    """A function from a text column to its score; null and empty texts have no terms."""
+def score_column(spark: SparkSession, model: Model):
+    """A function from a text column to its score; null and empty texts have no terms.
+
+    The model is broadcast: it has at most ``BUCKETS`` rows of weights, and a worker then keeps
+    one copy of it, and of the words it has looked up, for all its tasks.
+    """
+    sent = spark.sparkContext.broadcast(model)
+
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t) for t in texts.cast(pa.binary()).to_pylist()], pa.float64())
+        own = sent.value
+        return pa.array([own.score(t) for t in texts.cast(pa.binary()).to_pylist()], pa.float64())
 
     return score
 
@@ -205,13 +212,13 @@ def score_column(model: Model):
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and prediction of every document.  Without labels all get the score of the bias."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    score = score_column(train(docs, read_table(spark, sf_dir, "labels")))
+    score = score_column(spark, train(docs, read_table(spark, sf_dir, "labels")))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored below ``threshold``, with the same columns."""
-    score = score_column(train(docs, labels))
+    score = score_column(docs.sparkSession, train(docs, labels))
     kept = sealed(docs).withColumn("score", score("row.text")).where(F.col("score") < threshold)
     return opened(kept, docs.columns)

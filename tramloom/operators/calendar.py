@@ -152,35 +152,35 @@ def shared_window(
     end: dt.date | None = None,
     days: int | None = None,
 ) -> Window:
-    """The build window: what all agencies cover, narrowed by the arguments.
+    """The dates to build: given ones, else those that all ``agencies`` have service for.
 
-    ``days`` counts calendar days from the start and stops at the shared end.
-    Only a fully stated window is allowed to reach past the coverage.
+    ``days`` counts from the start and never leads past the last common date.  With both
+    ends given the calendar is not looked at, and may be None.
     """
-    if days is not None and days < 1:
-        raise WindowError("days must be at least 1")
-    if start is not None and end is not None:
-        if end < start:
-            raise WindowError(f"end {end} is before start {start}")
-        return start, end
-
-    # One row per agency reaches the driver.
-    known = {r.agency_id: r for r in coverage(service_dates).collect()}
-    for agency_id in agencies:
-        if agency_id not in known:
-            raise WindowError(f"{agency_id} has no service dates at all")
-    first = max(known[a].first_date for a in agencies)
-    last = min(known[a].last_date for a in agencies)
-    if first > last:
-        raise WindowError("the selected agencies share no service dates")
-
-    begin = start or first
-    if end is not None:
-        finish = end
-    elif days is not None:
-        finish = min(begin + dt.timedelta(days=days - 1), last)
-    else:
-        finish = last
-    if finish < begin:
-        raise WindowError(f"the window {begin} .. {finish} is empty")
-    return begin, finish
+    if days is not None and days <= 0:
+        raise WindowError(f"{days} days are no window")
+    if start is None or end is None:
+        start, end = _completed(service_dates, agencies, start, end, days)
+    if start > end:
+        raise WindowError(f"nothing lies between {start} and {end}")
+    return start, end
+
+
+def _completed(
+    service_dates: DataFrame, agencies: list[str], start: dt.date | None, end: dt.date | None,
+    days: int | None,
+) -> Window:
+    """The missing ends of a window, from one row of bounds over the wanted agencies."""
+    bounds = coverage(service_dates.where(F.col("agency_id").isin(agencies))).agg(
+        F.max("first_date").alias("opening"), F.min("last_date").alias("closing"),
+        F.collect_set("agency_id").alias("covered"),
+    ).first()
+    absent = sorted(set(agencies) - set(bounds.covered))
+    if absent:
+        raise WindowError("no service on any date: " + ", ".join(absent))
+    if bounds.opening > bounds.closing:
+        raise WindowError(f"no common date: one agency starts {bounds.opening}, one ends {bounds.closing}")
+    start = bounds.opening if start is None else start
+    if end is None:
+        end = bounds.closing if days is None else min(bounds.closing, start + dt.timedelta(days - 1))
+    return start, end

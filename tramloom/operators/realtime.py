@@ -132,21 +132,17 @@ def changed_between_polls(
 ) -> DataFrame:
     """Updates that differ from the previous poll of the same key.
 
-    Copies within one poll second fold together first, so the window holds at most
-    one row per key and second.  ``key`` should contain the service date, which
-    bounds it by the seconds of a day.
+    Only rows equal in key, time and payload are one poll; polls of one instant follow
+    each other in payload order.  ``key`` should contain the service date, which bounds
+    the window by the polls of one key on one day.
     """
-    second = delays.epoch_second(F.col(polled_at)).alias("second")
-    last = F.max(F.struct(F.col(polled_at), *payload)).alias("latest")
-    distinct = polls.groupBy(*key, second).agg(last)
-    order = W.partitionBy(*key).orderBy("second")
-    body = F.struct(*[F.col(f"latest.{c}") for c in payload])
+    distinct = polls.select(*key, polled_at, *payload).distinct()
+    order = W.partitionBy(*key).orderBy(polled_at, *payload)
+    body = F.struct(*payload)
     compared = distinct.withColumns({
-        "rank": F.row_number().over(order),
-        "same": body.eqNullSafe(F.lag(body).over(order)),
+        "_rank": F.row_number().over(order), "_same": body.eqNullSafe(F.lag(body).over(order)),
     })
-    kept = compared.where((F.col("rank") == 1) | ~F.col("same"))
-    return kept.select(*key, *[F.col(f"latest.{c}").alias(c) for c in (polled_at, *payload)])
+    return compared.where((F.col("_rank") == 1) | ~F.col("_same")).select(*key, polled_at, *payload)
 
 
 # --- windows over time ----------------------------------------------------
@@ -154,8 +150,8 @@ def changed_between_polls(
 #: Window name -> (length, slide) in seconds.  Fixed lengths; the slides are ours.
 ROLLING = {"5m": (300, 300), "1h": (3600, 300), "24h": (86_400, 3600)}
 
-#: Sketch size: exact up to about this many measured events per pane.
-SKETCH_SIZE = 4096
+#: Published percentiles.
+PERCENTILES = {"p50_delay": 50, "p90_delay": 90, "p99_delay": 99}
 
 
 def usable(events: DataFrame) -> DataFrame:
@@ -168,35 +164,16 @@ def usable(events: DataFrame) -> DataFrame:
     )
 
 
-def pane_aggregates(threshold: int = delays.ON_TIME_SECONDS) -> list[Column]:
-    """Mergeable aggregates of one pane; used by the batch and the stream side."""
-    delay = F.when(F.col("measured"), F.col("delay_seconds"))
-    return [
-        F.count(F.lit(1)).alias("events"),
-        F.count(delay).alias("measured_events"),
-        F.sum(delay.cast("bigint")).alias("delay_total"),
-        F.count_if(F.col("measured") & delays.on_time(F.col("delay_seconds"), threshold))
-        .alias("on_time_events"),
-        F.kll_sketch_agg_bigint(delay.cast("bigint"), F.lit(SKETCH_SIZE)).alias("sketch"),
-    ]
-
-
 def window_columns(prefix: list[str]) -> list[Column]:
     """Published columns of a finished window."""
     measured = F.col("measured_events")
-    quantiles = [
-        F.when(
-            measured > 0, F.kll_sketch_get_quantile_bigint(F.col("sketch"), F.lit(share))
-        ).alias(name)
-        for name, share in (("p50_delay", 0.5), ("p90_delay", 0.9), ("p99_delay", 0.99))
-    ]
     return [
         *[F.col(c) for c in prefix],
         F.col("window_start"), F.col("window_end"),
         F.col("events"), measured,
         F.try_divide(F.col("delay_total").cast("double"), measured).alias("mean_delay"),
         F.try_divide(F.col("on_time_events").cast("double"), measured).alias("on_time_share"),
-        *quantiles,
+        *[F.col(name) for name in PERCENTILES],
     ]
 
 
@@ -207,31 +184,41 @@ def rolling(
     time: str = "actual_arrival",
     threshold: int = delays.ON_TIME_SECONDS,
 ) -> DataFrame:
-    """Rolling delay statistics per key.
+    """Rolling delay statistics per key, with exact discrete percentiles.
 
-    Events are aggregated once, into panes as long as the slide.  Only the panes
-    fan out to the windows that contain them, and their sketches merge there; a
-    24-hour window costs no more per event than a five-minute one.
+    Events are counted once, per pane as long as the slide and per whole second of
+    delay.  Only these counts fan out to the windows that contain a pane, so a 24-hour
+    window costs no more per event than a five-minute one, and its largest group is
+    the number of different delays, whatever the traffic.
     """
     if size not in ROLLING:
         raise TransitError(f"no window {size!r}; windows are {sorted(ROLLING)}")
     length, slide = ROLLING[size]
     keys_ = [key] if isinstance(key, str) else list(key)
     second = delays.epoch_second(F.col(time))
-    pane = (F.floor(second / slide) * slide).alias("pane")
-    panes = usable(events.where(F.col(time).isNotNull())).groupBy(*keys_, pane).agg(
-        *pane_aggregates(threshold)
-    )
+    pane = (F.floor(second / slide) * slide).alias("start")
+    delay = F.when(F.col("measured"), F.col("delay_seconds")).cast("bigint").alias("delay")
+    counts = usable(events.where(F.col(time).isNotNull())).groupBy(*keys_, pane, delay).agg(
+        F.count(F.lit(1)).alias("n"))
     if length > slide:
-        starts = F.sequence(F.col("pane") - (length - slide), F.col("pane"), F.lit(slide))
-        panes = panes.withColumn("start", F.explode(starts)).groupBy(*keys_, "start").agg(
-            *[F.sum(c).alias(c) for c in
-              ("events", "measured_events", "delay_total", "on_time_events")],
-            F.kll_merge_agg_bigint("sketch", F.lit(SKETCH_SIZE)).alias("sketch"),
-        )
-    else:
-        panes = panes.withColumnRenamed("pane", "start")
-    finished = panes.withColumns({
+        starts = F.sequence(F.col("start") - (length - slide), F.col("start"), F.lit(slide))
+        counts = counts.withColumn("start", F.explode(starts)).groupBy(*keys_, "start", "delay").agg(
+            F.sum("n").alias("n"))
+    group = W.partitionBy(*keys_, "start")
+    known = F.when(F.col("delay").isNotNull(), F.col("n")).otherwise(0)
+    upwards = group.orderBy(F.col("delay").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    weighed = counts.withColumns({
+        "known": known, "reached": F.sum(known).over(upwards), "total": F.sum(known).over(group)})
+    windows = weighed.groupBy(*keys_, "start").agg(
+        F.sum("n").alias("events"),
+        F.sum("known").alias("measured_events"),
+        F.sum(F.col("delay") * F.col("n")).alias("delay_total"),
+        F.sum(F.when(delays.on_time(F.col("delay"), threshold), F.col("known")).otherwise(0))
+        .alias("on_time_events"),
+        *[F.min(F.when(100 * F.col("reached") >= share * F.col("total"), F.col("delay"))).alias(name)
+          for name, share in PERCENTILES.items()],
+    )
+    finished = windows.withColumns({
         "window_start": F.timestamp_seconds("start"),
         "window_end": F.timestamp_seconds(F.col("start") + length),
     })

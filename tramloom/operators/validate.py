@@ -133,12 +133,21 @@ def in_report_order(found: DataFrame) -> DataFrame:
 
 
 def require_integrity(feed: Feed, shown: int = 20) -> None:
-    """Refuse a feed with violations; the message lists the first few."""
-    found = violations(feed)
-    first = in_report_order(found).limit(shown).collect()
-    if first:
+    """Refuse a feed with violations.
+
+    The message states how many there are and spells out the first ``shown``;
+    ``violations`` has them all.
+    """
+    found = violations(feed).cache()
+    try:
+        total = found.count()
+        if not total:
+            return
         lines = [
             f"{r.agency_id} {r.file}.{r.field} {r.value!r} not in {r.references} "
-            f"({r.occurrences} rows)" for r in first
+            f"({r.occurrences} rows)" for r in in_report_order(found).limit(shown).collect()
         ]
-        raise IntegrityError("; ".join(lines))
+    finally:
+        found.unpersist()
+    rest = f"; and {total - len(lines)} more" if total > len(lines) else ""
+    raise IntegrityError(f"{total} violations: " + "; ".join(lines) + rest)

@@ -764,8 +764,9 @@ def _current_stats(spark, sf_dir):
       strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as polled_at, zone::bigint as zone,
       schedule_relationship from (
       select *, row_number() over w as rn, lag(zone) over w as z0,
-        lag(schedule_relationship) over w as r0 from poll
-      window w as (partition by vehicle, service_date order by second))
+        lag(schedule_relationship) over w as r0
+      from (select distinct vehicle, service_date, ts, zone, schedule_relationship from poll)
+      window w as (partition by vehicle, service_date order by ts, zone, schedule_relationship))
     where rn = 1 or zone is distinct from z0 or schedule_relationship is distinct from r0""")
 def _poll_diff(spark, sf_dir):
     return rt.changed_between_polls(

@@ -102,7 +102,7 @@ def load_registry(path: str | Path) -> Registry:
     agencies = []
     for entry in raw.get("agency", []):
         where = f"{path} agency {entry.get('id', '?')}"
-        _known(entry, {"id", "name", "mode", "timezone", "static_url", "realtime", "quirks"}, where)
+        _known(entry, {"id", "name", "mode", "timezone", "realtime", "quirks"}, where)
         missing = [k for k in ("id", "name", "mode", "timezone") if k not in entry]
         if missing:
             raise RegistryError(f"{where}: missing {missing[0]!r}")

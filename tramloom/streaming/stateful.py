@@ -19,20 +19,18 @@ from tramloom.functions import delay as delays
 from tramloom.operators import realtime as rt
 from tramloom.session import shared_dir
 
-#: Keys silent for this long are forgotten.
-FORGET_SECONDS = 48 * 3600
-
 #: (batch rows, last rows) -> (result rows, new last rows with a ``second`` column)
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
 def run_with_state(
     stream: DataFrame, step: Step, result: T.StructType, state: T.StructType,
-    root: str | None = None, available_now: bool = True,
+    root: str | None = None, available_now: bool = True, forget_seconds: int | None = None,
 ):
     """Start a query that carries ``state`` from batch to batch.
 
-    Returns (query, function reading the results so far).
+    With ``forget_seconds``, keys silent for that long before the newest row are dropped;
+    without it none is.  Returns (query, function reading the results so far).
     """
     spark = stream.sparkSession
     root = root or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -44,10 +42,10 @@ def run_with_state(
 
     def store(batch: DataFrame, number: int) -> None:
         rows, kept = step(batch, last_rows(number - 1))
-        # A one-row horizon joins without a shuffle; it only drops silent keys.
-        newest = kept.agg(F.max("second").alias("newest")).head().newest
-        if newest is not None:
-            kept = kept.where(F.col("second") > newest - FORGET_SECONDS)
+        if forget_seconds is not None:
+            newest = kept.agg(F.max("second").alias("newest")).head().newest
+            if newest is not None:
+                kept = kept.where(F.col("second") > newest - forget_seconds)
         rows.write.mode("overwrite").parquet(f"{root}/table/batch={number}")
         kept.write.mode("overwrite").parquet(f"{root}/state/batch={number}")
 
@@ -80,14 +78,14 @@ def poll_diff_stream(
     second = delays.epoch_second(F.col(time))
 
     def step(batch: DataFrame, last: DataFrame) -> tuple[DataFrame, DataFrame]:
-        known = last.select(*key, F.col("second").alias("last_second"))
+        known = last.select(*key, F.col(time).alias("last_time"))
         fresh = batch.select(*columns).join(known, key, "left").where(
-            F.col("last_second").isNull() | (second > F.col("last_second"))
+            F.col("last_time").isNull() | (F.col(time) > F.col("last_time"))
         )
         together = last.select(*columns).unionByName(fresh.select(*columns))
         changed = rt.changed_between_polls(together, key, payload, time)
         rows = changed.join(last.select(*key, time), [*key, time], "left_anti")
-        newest = F.max_by(F.struct(time, *payload), time).alias("latest")
+        newest = F.max(F.struct(time, *payload)).alias("latest")
         kept = together.groupBy(*key).agg(newest).select(*key, "latest.*")
         return rows.select(*columns), kept.withColumn("second", second).select(*state.names)
 

@@ -25,8 +25,8 @@ def rolling_stream(
 ) -> DataFrame:
     """Rolling statistics per key as a streaming aggregate.
 
-    State is one small row and a sketch of bounded size per key and open window; the
-    events of a hot key are combined before they are shuffled.
+    State is one row per key and open window.  Its percentiles are exact and hold a count
+    per different delay; the events of a hot key are combined before they are shuffled.
     """
     length, slide = rt.ROLLING[size]
     keys = [key] if isinstance(key, str) else list(key)
@@ -34,7 +34,15 @@ def rolling_stream(
     if watermark:
         timed = timed.withWatermark("actual_arrival", watermark)
     span = F.window("actual_arrival", f"{length} seconds", f"{slide} seconds")
-    windows = rt.usable(timed).groupBy(*keys, span).agg(*rt.pane_aggregates(threshold))
+    delay = F.when(F.col("measured"), F.col("delay_seconds")).cast("bigint")
+    windows = rt.usable(timed).withColumn("delay", delay).groupBy(*keys, span).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count("delay").alias("measured_events"),
+        F.sum("delay").alias("delay_total"),
+        F.count_if(delays.on_time(F.col("delay"), threshold)).alias("on_time_events"),
+        *[F.expr(f"percentile_disc({share / 100}) within group (order by delay)").cast("bigint").alias(name)
+          for name, share in rt.PERCENTILES.items()],
+    )
     return windows.withColumns({
         "window_start": F.col("window.start"), "window_end": F.col("window.end"),
     }).select(*rt.window_columns(keys))

@@ -36,21 +36,23 @@ def _with_match_keys(rows: DataFrame, agencies: DataFrame, realtime: bool) -> Da
     }).drop("trip_id_match", "stop_id_direction_suffix")
 
 
-def match_updates(facts: DataFrame, updates: DataFrame, agencies: DataFrame) -> DataFrame:
+def match_updates(
+    facts: DataFrame, updates: DataFrame, agencies: DataFrame, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Each newest update with the one scheduled call it belongs to.
 
     The trip key is a suffix for some agencies and a trip may call at one stop
     twice, so a key can name several calls.  Such updates are ``ambiguous`` and,
     like ``unmatched`` ones, get no schedule columns: no guess is measured.
+    ``carried`` names further columns of the call to bring along.
     """
+    brought = ("event_id", "scheduled_arrival", *carried)
     calls = _with_match_keys(
-        facts.select("agency_id", "service_date", "trip_id", "stop_id", "event_id",
-                     "scheduled_arrival"),
+        facts.select("agency_id", "service_date", "trip_id", "stop_id", *brought),
         agencies, realtime=False,
     )
     calls = calls.groupBy(*_MATCH).agg(
-        F.count(F.lit(1)).alias("candidates"),
-        F.min(F.struct("event_id", "scheduled_arrival")).alias("call"),
+        F.count(F.lit(1)).alias("candidates"), F.min(F.struct(*brought)).alias("call"),
     )
     matched = _with_match_keys(latest_updates(updates), agencies, realtime=True).join(
         calls, _MATCH, "left"
@@ -59,30 +61,28 @@ def match_updates(facts: DataFrame, updates: DataFrame, agencies: DataFrame) ->
     return matched.withColumns({
         "match_status": F.when(F.col("candidates").isNull(), "unmatched")
         .when(only, "matched").otherwise("ambiguous"),
-        "event_id": F.when(only, F.col("call.event_id")),
-        "scheduled_arrival": F.when(only, F.col("call.scheduled_arrival")),
+        **{name: F.when(only, F.col(f"call.{name}")) for name in brought},
     }).drop("call", "candidates", "match_trip", "match_stop")
 
 
 def stop_events(facts: DataFrame, updates: DataFrame, agencies: DataFrame) -> DataFrame:
-    """The fact table with its realtime columns filled where an update matched."""
-    found = match_updates(facts, updates, agencies).where(F.col("match_status") == "matched")
+    """The fact table with its realtime columns filled where an update matched.
+
+    Delay and headway belong to matched calls, so they are computed on these alone;
+    the facts are joined once, at the end.
+    """
+    observed = ("polled_at", "actual_arrival", "schedule_relationship", "is_cancelled", "vehicle_id")
+    key = ("service_date", "event_id", *HEADWAY_KEY[1:], "scheduled_arrival")
+    found = match_updates(facts, updates, agencies, HEADWAY_KEY[1:]).where(
+        F.col("match_status") == "matched")
     # Two realtime trips may share a suffix: the newest update of the call counts.
-    found = found.groupBy("service_date", "event_id").agg(
-        F.max(F.struct(
-            "polled_at", "actual_arrival", "schedule_relationship", "is_cancelled", "vehicle_id"
-        )).alias("rt")
-    )
-    base = facts.drop(*sc.REALTIME_COLUMNS.names)
-    joined = base.join(found, ["service_date", "event_id"], "left").withColumns({
-        name: F.col(f"rt.{name}")
-        for name in ("actual_arrival", "schedule_relationship", "is_cancelled", "vehicle_id")
-    })
-    joined = joined.withColumn(
-        "delay_seconds",
-        delays.delay_seconds(F.col("scheduled_arrival"), F.col("actual_arrival")),
-    )
-    return sc.conform(with_headway(joined), sc.FACTS, "service_date")
+    found = found.groupBy(*key).agg(F.max(F.struct(*observed)).alias("rt")).select(*key, "rt.*")
+    delay = delays.delay_seconds(F.col("scheduled_arrival"), F.col("actual_arrival"))
+    measured = with_headway(found).select(
+        "service_date", "event_id", delay.alias("delay_seconds"),
+        *[c for c in sc.REALTIME_COLUMNS.names if c != "delay_seconds"])
+    joined = facts.drop(*sc.REALTIME_COLUMNS.names).join(measured, ["service_date", "event_id"], "left")
+    return sc.conform(joined, sc.FACTS, "service_date")
 
 
 # --- headway --------------------------------------------------------------
@@ -93,35 +93,18 @@ HEADWAY_KEY = ("service_date", "route_key", "stop_key", "direction_id")
 def with_headway(events: DataFrame) -> DataFrame:
     """Adds ``headway_seconds``: whole seconds since the previous vehicle.
 
-    Null for the first vehicle of a route, stop and direction on a service date; an
-    unstated direction is a group of its own.  Vehicles of the same second follow
-    each other in event id order with a headway of 0.
+    Null for the first vehicle of a route, stop and direction on a service date, and
+    without an arrival; an unstated direction is a group of its own.  Vehicles of one
+    second follow each other in event id order with a headway of 0.
 
-    Arrivals are folded to distinct seconds before the window, so its largest
-    group is the seconds of one service day, whatever the traffic.  The gap then
-    returns to the first event of its second, by an id that spreads evenly.
+    One window over the arrivals of a stop on a day; rows without an arrival are
+    windows of their own and never beside them.
     """
-    timed = events.withColumn("second", delays.epoch_second(F.col("actual_arrival")))
-    seconds = timed.where(F.col("second").isNotNull()).groupBy(*HEADWAY_KEY, "second").agg(
-        F.min("event_id").alias("event_id")
-    )
-    order = W.partitionBy(*HEADWAY_KEY).orderBy("second")
-    gaps = seconds.select(
-        "service_date", "event_id", "second",
-        F.struct((F.col("second") - F.lag("second").over(order)).cast("int").alias("value"))
-        .alias("gap"),
-    )
-    # A matched row without a value is the first of its day; an unmatched timed row
-    # shares its second with an earlier one.
-    value = F.when(F.col("gap").isNotNull(), F.col("gap.value")).when(
-        F.col("actual_arrival").isNotNull(), F.lit(0)
-    )
-    return (
-        timed.drop("headway_seconds")
-        .join(gaps, ["service_date", "event_id", "second"], "left")
-        .withColumn("headway_seconds", value)
-        .drop("gap", "second")
-    )
+    second = delays.epoch_second(F.col("actual_arrival"))
+    timed = events.withColumn("second", second)
+    order = W.partitionBy(*HEADWAY_KEY, F.isnull("second")).orderBy("second", "event_id")
+    gap = (F.col("second") - F.lag("second").over(order)).cast("int")
+    return timed.withColumn("headway_seconds", gap).drop("second")
 
 
 # --- polls ----------------------------------------------------------------

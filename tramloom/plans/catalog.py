@@ -610,37 +610,36 @@ def _delay_measurable(spark, sf_dir):
         F.count(F.lit(1)).alias("events"), F.count_if("measured").alias("measured"))
 
 
-_DELAYS = """count(*) as measured_stops, round(avg(delay_seconds), 4) as mean_delay_seconds,
-      round(quantile_cont(delay_seconds, 0.5), 4) as p50_delay_seconds,
-      round(quantile_cont(delay_seconds, 0.9), 4) as p90_delay_seconds,
-      round(quantile_cont(delay_seconds, 0.99), 4) as p99_delay_seconds"""
-_MEASURED_WIDE = """stop_ev e left join stops_d s on s.stop_key = e.stop_key
-      left join calendar_d c on c.service_date = e.service_date
-    where schedule_relationship = 'SCHEDULED' and not is_cancelled and delay_seconds is not null"""
-
-
+_M = "schedule_relationship = 'SCHEDULED' and not is_cancelled and delay_seconds is not null"
+_DELAYS = f"""count(*) filter ({_M}) as measured_stops,
+      round(avg(delay_seconds) filter ({_M}), 4) as mean_delay_seconds,
+      round(quantile_cont(delay_seconds, 0.5) filter ({_M}), 4) as p50_delay_seconds,
+      round(quantile_cont(delay_seconds, 0.9) filter ({_M}), 4) as p90_delay_seconds,
+      round(quantile_cont(delay_seconds, 0.99) filter ({_M}), 4) as p99_delay_seconds"""
+_WIDE = """stop_ev e left join stops_d s on s.stop_key = e.stop_key
+      left join calendar_d c on c.service_date = e.service_date"""
+_MEASURED_WIDE = f"{_WIDE} where {_M}"
+
+
+# Cells without a measured delay stay, with nulls, as do the routes nobody defines.
 @query("delay_percentiles", f"""
-    select coalesce(borough, 'Unknown') as borough, {_DELAYS} from {_MEASURED_WIDE}
-      and service_period = 'PM Peak' and day_type = 'Weekday' group by all""")
+    select coalesce(borough, 'Unknown') as borough, {_DELAYS} from {_WIDE}
+      where service_period = 'PM Peak' and day_type = 'Weekday' group by all""")
 def _delay_percentiles(spark, sf_dir):
-    found = _delay_cube(spark, sf_dir).query(
+    return _delay_cube(spark, sf_dir).query(
         "measured_stops", "mean_delay_seconds", "p50_delay_seconds", "p90_delay_seconds",
         "p99_delay_seconds", levels=["borough"],
         members={"service_period": ["PM Peak"], "day_type": ["Weekday"]})
-    return found.where(F.col("measured_stops") > 0)
 
 
 @query("on_time", f"""
-    select agency_id, mode, display_name, count(*) as measured_stops,
-      round(avg((abs(delay_seconds) <= 300)::integer), 4) as on_time_share
-    from (select r.agency_id, mode, display_name, delay_seconds from stop_ev e
-      join routes_d r on r.route_key = e.route_key
-      where schedule_relationship = 'SCHEDULED' and not is_cancelled
-        and delay_seconds is not null) group by all""")
+    select coalesce(r.agency_id, 'Unknown') as agency_id, coalesce(mode, 'Unknown') as mode,
+      coalesce(display_name, 'Unknown') as display_name, count(*) filter ({_M}) as measured_stops,
+      round(avg((abs(delay_seconds) <= 300)::integer) filter ({_M}), 4) as on_time_share
+    from stop_ev e left join routes_d r on r.route_key = e.route_key group by all""")
 def _on_time(spark, sf_dir):
-    found = _delay_cube(spark, sf_dir).query(
+    return _delay_cube(spark, sf_dir).query(
         "measured_stops", "on_time_share", levels=["display_name"])
-    return found.where((F.col("measured_stops") > 0) & (F.col("agency_id") != "Unknown"))
 
 
 @query("adherence", f"""
@@ -782,15 +781,13 @@ def _stale_feeds(spark, sf_dir):
 
 
 @query("scenario_delay", f"""
-    select scenario, borough, count(*) as measured_stops,
-      round(quantile_cont(delay, 0.9), 4) as p90_delay_seconds from (
-      select scenario, coalesce(borough, 'Unknown') as borough,
+    select scenario, borough, count(*) filter (counts) as measured_stops,
+      round(quantile_cont(delay, 0.9) filter (counts), 4) as p90_delay_seconds from (
+      select scenario, coalesce(borough, 'Unknown') as borough, coalesce({_M}, false) as counts,
         delay_seconds + case when scenario = 'relief' and service_period = 'PM Peak'
           and e.agency_id in ('AMERICA', 'EUROPE') then -60 else 0 end as delay
       from stop_ev e left join stops_d s on s.stop_key = e.stop_key,
-        (values ('base'), ('relief')) v(scenario)
-      where schedule_relationship = 'SCHEDULED' and not is_cancelled and delay_seconds is not null)
-    group by all""")
+        (values ('base'), ('relief')) v(scenario)) group by all""")
 def _scenario_delay(spark, sf_dir):
     cube = _delay_cube(spark, sf_dir)
     agencies = fx.agencies(spark, sf_dir).where("stop_id_direction_suffix")
@@ -799,9 +796,8 @@ def _scenario_delay(spark, sf_dir):
         F.lit("PM Peak").alias("service_period"), F.lit(-60).alias("delay_change"))
     branched = rt.scenario_facts(
         cube.facts, overrides, ["relief"], ["agency_id", "service_period"])
-    found = Cube(branched, cube.dimensions).query(
+    return Cube(branched, cube.dimensions).query(
         "measured_stops", "p90_delay_seconds", levels=["borough"], by=["scenario"])
-    return found.where(F.col("measured_stops") > 0)
 
 
 

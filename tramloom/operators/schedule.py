@@ -53,12 +53,20 @@ def trip_runs(
     What does not depend on the call is worked out here, for a small fraction of
     the fact rows: where the day starts in the agency's zone, and the event id up to
     its stop sequence.
+
+    The dates of a service travel as one array, which the calendar's longest range
+    bounds.  Trips are dealt out by trip before the array becomes rows, so a service
+    that most trips have is no hot group.
     """
     trips = feed.trips.select("agency_id", "service_id", "trip_id", "route_id", "direction_id")
     date = F.col("service_date")
+    dates = service_dates.groupBy("agency_id", "service_id").agg(
+        F.collect_list("service_date").alias("dates"))
     return (
-        trips.join(service_dates, ["agency_id", "service_id"])
+        trips.join(dates, ["agency_id", "service_id"])
         .join(agencies.select("agency_id", "timezone"), "agency_id")
+        .repartition("agency_id", "trip_id")
+        .withColumn("service_date", F.explode("dates"))
         .select(
             "agency_id", "trip_id", "route_id", "direction_id", "service_date", "timezone",
             clock.day_start(date, F.col("timezone"), zones).alias("day_start"),

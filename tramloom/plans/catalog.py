@@ -6,6 +6,7 @@ engines print the same values.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -268,6 +269,25 @@ def _services_on(spark, sf_dir):
         F.count(F.lit(1)).alias("services"))
 
 
+@query("service_lookup", """
+    select 'services' as asked, agency_id, service_id, service_date::varchar as service_date
+    from service_dates where service_date = date '1997-06-02'
+    union all select 'dates', agency_id, service_id, service_date::varchar from service_dates
+    where agency_id = 'ASIA' and service_id = (
+      select min(service_id) from service_dates where agency_id = 'ASIA')""")
+def _service_lookup(spark, sf_dir):
+    """The services of a date, and the dates of a service."""
+    dates = _service_dates(spark, sf_dir)
+    day = dt.date(1997, 6, 2)
+    first = dates.where("agency_id = 'ASIA'").agg(F.min("service_id")).first()[0]
+    return cal.services_on(dates, day).select(
+        F.lit("services").alias("asked"), "agency_id", "service_id",
+        F.lit(day).cast("string").alias("service_date"),
+    ).unionByName(cal.dates_for(dates, "ASIA", first).select(
+        F.lit("dates").alias("asked"), F.lit("ASIA").alias("agency_id"),
+        F.lit(first).alias("service_id"), F.col("service_date").cast("string").alias("service_date")))
+
+
 @query("empty_services", """
     select distinct agency_id, service_id from (
       select agency_id, service_id from calendar_t
@@ -295,6 +315,46 @@ def _resolve_schedule(spark, sf_dir):
     return facts.drop(*skipped).withColumn("direction_id", text("direction_id"))
 
 
+@query("resolve_window", """
+    select agency_id, service_date::varchar as service_date, count(*) as calls, min(arr) as first_arrival
+    from facts, (select max(a) as first_date, min(b) as last_date from (
+      select min(service_date) as a, max(service_date) as b from service_dates group by agency_id))
+    where service_date between first_date and least(last_date, first_date + interval 6 day)
+    group by all""".replace("min(arr) as first_arrival", f"{oracle.stamp('min(arr)')} as first_arrival"))
+def _resolve_window(spark, sf_dir):
+    """The first week that all agencies cover, resolved and nothing else."""
+    feed, agencies = fx.feed(spark, sf_dir), fx.agencies(spark, sf_dir)
+    dates = _service_dates(spark, sf_dir)
+    names = [r.agency_id for r in agencies.select("agency_id").collect()]
+    window = cal.shared_window(dates, names, days=7)
+    facts = schedule.resolve_schedule(feed, agencies, window, fx.ZONES)
+    return facts.groupBy("agency_id", "service_date").agg(
+        F.count(F.lit(1)).alias("calls"), F.min("scheduled_arrival").alias("first_arrival"))
+
+
+@query("facts_roundtrip", f"""
+    select service_date::varchar as service_date, agency_id, route_id, route_key, trip_id, stop_id,
+      stop_key, stop_sequence::bigint as stop_sequence, direction_id::varchar as direction_id,
+      {oracle.stamp('arr')} as scheduled_arrival, {oracle.stamp('dep')} as scheduled_departure,
+      dwell_seconds::bigint as dwell_seconds, overnight::bigint as crosses_midnight,
+      local_hour::bigint as local_hour, service_period, overnight::bigint as overnight,
+      true::bigint as without_realtime
+    from facts where service_date in (date '1997-06-02', date '1997-06-03')""")
+def _facts_roundtrip(spark, sf_dir):
+    """All columns of a window of dates, in the stored layout, read back for two dates."""
+    root = f"{shared_dir(spark)}/dataset-{uuid.uuid4().hex}"
+    window = dt.date(1997, 5, 26), dt.date(1997, 6, 22)
+    dataset.write_facts(schedule.resolve_schedule(
+        fx.feed(spark, sf_dir), fx.agencies(spark, sf_dir), window, fx.ZONES), root)
+    stored = dataset.load_facts(
+        spark, root, [dt.date(1997, 6, 2), dt.date(1997, 6, 3)], fx.agencies(spark, sf_dir))
+    empty = F.lit(True)
+    for name in fx_realtime:
+        empty = empty & F.col(name).isNull()
+    return stored.withColumn("without_realtime", empty.cast("int")).drop(
+        "event_id", *fx_realtime).withColumn("direction_id", text("direction_id"))
+
+
 fx_realtime = ("actual_arrival", "delay_seconds", "headway_seconds", "is_cancelled",
                "schedule_relationship", "vehicle_id")
 

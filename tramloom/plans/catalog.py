@@ -27,6 +27,7 @@ from tramloom.sources import dataset
 from tramloom.streaming import events as live
 from tramloom.streaming import stateful
 from tramloom.streaming import windows as live_windows
+from tramloom.streaming.settings import StreamSettings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -874,16 +875,63 @@ def _observed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.observed_calls(_event_stream(spark, sf_dir))
 
 
-def _stream_windows(size: str) -> Query:
-    def run(spark, sf_dir):
-        windows = live_windows.rolling_stream(_observed_stream(spark, sf_dir), "route_key", size)
-        return _shown_windows(live.run_available(windows, "update", ["route_key", "window_start"]))
+def _live_windows(spark: SparkSession, sf_dir: str, key: str, size: str) -> DataFrame:
+    return live_windows.rolling_streams(_observed_stream(spark, sf_dir), key, StreamSettings())[size]
 
-    return run
+
+def _stream_windows(key: str, size: str) -> Query:
+    return lambda spark, sf_dir: _shown_windows(live.run_available(
+        _live_windows(spark, sf_dir, key, size), "update", [key, "window_start"]))
 
 
 for _size in rt.ROLLING:
-    query(f"stream_windows_{_size}", _rolling_sql("route_key", _size))(_stream_windows(_size))
+    query(f"stream_windows_{_size}", _rolling_sql("route_key", _size))(
+        _stream_windows("route_key", _size))
+    query(f"stream_windows_stop_{_size}", _rolling_sql("stop_key", _size))(
+        _stream_windows("stop_key", _size))
+
+
+@query("stream_window_flush", f"""
+    select * from ({_rolling_sql("route_key", "5m")}) where window_end <= (
+      select strftime(max(ts) - interval 10 minute, '%Y-%m-%d %H:%M:%S') from observed)""")
+def _stream_window_flush(spark, sf_dir):
+    """Windows that the watermark has closed, appended to a folder and read back."""
+    root = f"{shared_dir(spark)}/flush-{uuid.uuid4().hex}"
+    windows = _live_windows(spark, sf_dir, "route_key", "5m")
+    live.flush_windows(windows, f"{root}/table", f"{root}/checkpoint", None).awaitTermination()
+    return _shown_windows(spark.read.schema(windows.schema).parquet(f"{root}/table"))
+
+
+@query("stream_current_stats", ORACLE["current_stats"])
+def _stream_current_stats(spark, sf_dir):
+    windows = live.run_available(
+        _live_windows(spark, sf_dir, "route_key", "1h"), "update", ["route_key", "window_start"])
+    return rt.current_stats(windows, "route_key").select("route_key", "window_start", "events")
+
+
+@query("stream_alert_messages", f"""
+    select route_key as key, window_start, measured_events::varchar as measured_events
+    from ({ORACLE["anomalies"]})""")
+def _stream_alert_messages(spark, sf_dir):
+    """Alerts as the alert topic's messages, with two fields of the body read again."""
+    windows = _live_windows(spark, sf_dir, "route_key", "24h")
+    baseline = rt.delay_baseline(fx.observed(spark, sf_dir))
+    alerts = live_windows.anomaly_stream(windows, baseline, threshold=60, observations=5)
+    sent = live_windows.alert_messages(alerts).withColumn(
+        "window_start", F.get_json_object("value", "$.window_start"))
+    latest = live.run_available(sent, "update", ["key", "window_start"])
+    return latest.select(
+        "key", F.to_timestamp("window_start").alias("window_start"),
+        F.get_json_object("value", "$.measured_events").alias("measured_events"))
+
+
+@query("stream_health_messages", f"""
+    select vehicle::varchar as key, age_seconds::varchar as age_seconds
+    from ({ORACLE["stale_feeds"]})""")
+def _stream_health_messages(spark, sf_dir):
+    stale = live_windows.health_stream(fx.polls(_event_stream(spark, sf_dir)))
+    sent = live.run_available(live_windows.health_messages(stale, "vehicle"), "append")
+    return sent.select("key", F.get_json_object("value", "$.age_seconds").alias("age_seconds"))
 
 
 @query("stream_anomalies", ORACLE["anomalies"])

@@ -87,12 +87,13 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, name: st
     )
 
 
-def flush_windows(windows: DataFrame, path: str, checkpoint: str, every: str = "5 minutes"):
-    """Start appending finished windows to a Parquet folder."""
+def flush_windows(windows: DataFrame, path: str, checkpoint: str, every: str | None = "5 minutes"):
+    """Start appending finished windows to a Parquet folder, every so often or, with None, once."""
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
         windows.writeStream.outputMode("append").format("parquet")
         .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every).start()
+        .trigger(**trigger).start()
     )
 
 

@@ -32,6 +32,8 @@ class StreamSettings:
     anomaly_min_observations: int = delays.ANOMALY_OBSERVATIONS
     #: Events later than this are left out of windows; the raw facts keep them.
     watermark: str = "10 minutes"
+    #: The same for windows of more than an hour.
+    long_watermark: str = "1 hour"
     flush_every: str = "5 minutes"
 
     def __post_init__(self) -> None:
@@ -41,6 +43,6 @@ class StreamSettings:
                      "anomaly_min_observations"):
             if getattr(self, name) <= 0:
                 raise SettingsError(f"{name} must be positive")
-        for name in ("watermark", "flush_every"):
+        for name in ("watermark", "long_watermark", "flush_every"):
             if not getattr(self, name).strip():
                 raise SettingsError(f"{name} is blank")

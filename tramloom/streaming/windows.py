@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tramloom.functions import delay as delays
 from tramloom.operators import realtime as rt
+from tramloom.streaming.settings import StreamSettings
 
 
 def distinct_events(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
@@ -48,6 +49,19 @@ def rolling_stream(
     }).select(*rt.window_columns(keys))
 
 
+def rolling_streams(
+    events: DataFrame, key: str | list[str], settings: StreamSettings = StreamSettings()
+) -> dict[str, DataFrame]:
+    """The rolling statistics of every window the settings name."""
+    return {
+        size: rolling_stream(
+            events, key, size,
+            settings.long_watermark if rt.ROLLING[size][0] > 3600 else settings.watermark,
+            settings.on_time_threshold_seconds)
+        for size in settings.windows
+    }
+
+
 def anomaly_stream(
     windows: DataFrame,
     baseline: DataFrame,
@@ -68,3 +82,10 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
 def health_stream(polls: DataFrame, limit: int = delays.STALE_SECONDS) -> DataFrame:
     """Health events of stale feeds."""
     return rt.stale_polls(polls, limit)
+
+
+def health_messages(stale: DataFrame, key: str) -> DataFrame:
+    """Health events as messages for the health topic, by ``key``."""
+    return stale.select(
+        F.col(key).cast("string").alias("key"), F.to_json(F.struct(*stale.columns)).alias("value")
+    )

@@ -115,7 +115,8 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     the last one comes the first.  Rows are dealt out by ranges of ids, so each range finds
     its next rows by itself; the first row of each range is the next of the range before.
     """
-    ranges = shuffle_partitions(docs.sparkSession)
+    # Several a task, so that tasks get about equally much.
+    ranges = 4 * shuffle_partitions(docs.sparkSession)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # One number a range.
@@ -132,7 +133,8 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     dealt = texts.withColumn("range", number("doc_id"))
     # The first row of each range: its greatest id, then the rows of these ids only.
     tops = dealt.groupBy("range").agg(F.max("doc_id").alias("top")).select(F.col("range").alias("_r"), "top")
-    heads = dealt.join(tops, (F.col("range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("top")))
+    # One id a range is broadcast, so no text moves for it.
+    heads = dealt.join(F.broadcast(tops), (F.col("range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("top")))
     first = scratch.save(
         heads.groupBy("range").agg(F.max("text").alias("text")).withColumn("sketch", sketch_column("text")),
         "heads")

@@ -48,9 +48,15 @@ def parse_stop_events(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def render_stop_events(events: DataFrame) -> DataFrame:
-    """Stop events as messages: ``key`` is the route, ``value`` the snake_case JSON."""
+    """Stop events as messages: ``key`` is the route, ``value`` the snake_case JSON.
+
+    A message has all fields of the contract; one that ``events`` lacks is null.
+    """
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "ignoreNullFields": "false"}
-    columns = [c for c in sc.STOP_EVENT.names if c in events.columns]
+    columns = [
+        F.col(f.name) if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in sc.STOP_EVENT.fields
+    ]
     return events.select(
         F.col("route_key").alias("key"), F.to_json(F.struct(*columns), options).alias("value")
     )

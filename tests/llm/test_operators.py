@@ -410,6 +410,14 @@ def test_licences_on_documents_and_notices(spark, tmp_path):
     assert licenses.scan(no_docs(spark)).collect() == []
 
 
+def test_licences_equal_joins_in_sql(spark):
+    con = duckdb.connect()
+    con.execute("create view documents as select * from '/root/testdata/sf0.01/documents.parquet'")
+    expected = con.execute(licenses.ORACLE).fetchall()
+    found = licenses.op7_licenses(spark, "/root/testdata/sf0.01").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 # ------------------------------------------------------------------ 8 chat
 
 def test_chat_keeps_maximal_conversations(spark, monkeypatch):

@@ -28,6 +28,8 @@ def _reference(file: str, field: str, value: Column, target: str) -> Column:
 def _references(feed: Feed) -> DataFrame:
     """Every stated reference; each table is read once, whatever it refers to."""
     col = F.col
+    # A feed whose agency file states no id at all has nothing to check routes against.
+    naming = feed.agency.where(col("stated_agency_id").isNotNull()).select("agency_id").distinct()
     by_table = [
         (feed.trips, [
             _reference("trips.txt", "route_id", col("route_id"), "routes.txt"),
@@ -41,7 +43,7 @@ def _references(feed: Feed) -> DataFrame:
             _reference("stops.txt", "parent_station", non_empty(col("parent_station")),
                        "stops.txt"),
         ]),
-        (feed.routes, [
+        (feed.routes.join(naming, "agency_id", "left_semi"), [
             _reference("routes.txt", "agency_id", non_empty(col("stated_agency_id")),
                        "agency.txt"),
         ]),
@@ -75,17 +77,7 @@ def dangling_keys(feed: Feed) -> DataFrame:
     counted = _references(feed).groupBy(
         "agency_id", "file", "field", "value", "references"
     ).agg(F.count(F.lit(1)).alias("occurrences"))
-    # A feed whose agency file states no id at all has nothing to check routes against.
-    naming = (
-        feed.agency.where(F.col("stated_agency_id").isNotNull())
-        .select("agency_id").distinct().withColumn("references", F.lit("agency.txt"))
-    )
-    needs_agency = F.col("references") == "agency.txt"
-    checked = counted.where(~needs_agency).unionByName(
-        counted.where(needs_agency).join(naming, ["agency_id", "references"], "left_semi")
-        .select(counted.columns)
-    )
-    return checked.join(_keys(feed), ["agency_id", "references", "value"], "left_anti").select(
+    return counted.join(_keys(feed), ["agency_id", "references", "value"], "left_anti").select(
         "agency_id", "file", "field", "value", "references", "occurrences"
     )
 
@@ -113,7 +105,7 @@ def duplicate_keys(feed: Feed) -> DataFrame:
 def trips_without_calls(feed: Feed) -> DataFrame:
     """Optional check: trips no stop time belongs to."""
     keys = ["agency_id", "trip_id"]
-    idle = feed.trips.join(feed.stop_times.select(keys), keys, "left_anti")
+    idle = feed.trips.join(feed.stop_times.select(keys).distinct(), keys, "left_anti")
     return idle.select(
         "agency_id", F.lit("trips.txt").alias("file"), F.lit("trip_id").alias("field"),
         F.col("trip_id").alias("value"), F.lit("stop_times.txt").alias("references"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import random
 import zlib
 from itertools import combinations
@@ -14,7 +13,6 @@ import public_tokenizers
 import pytest
 import xxhash
 from corner import DOC_SCHEMA, corner_docs, corner_rows, no_docs, prose
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tramloom.llm import chat, embedding_dedup, licenses, line_dedup, mixing, packing, perplexity
@@ -188,7 +186,8 @@ def test_probabilities_sum_to_one_and_equal_plain_computation(spark):
 
 
 def test_perplexity_keeps_trusted_text_and_drops_junk(spark):
-    rows = [(i, prose(i, 50), "en") for i in range(120)] + [(500, "#$%&! ;;;; " * 40, "en"), (501, "", "en"), (502, None, None)]
+    rows = [(i, prose(i, 50), "en") for i in range(120)]
+    rows += [(500, "#$%&! ;;;; " * 40, "en"), (501, "", "en"), (502, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id long, quality int, toxic int")
     found = {r["doc_id"]: r for r in perplexity.score(docs, labels).collect()}
@@ -349,7 +348,8 @@ def test_packing_of_corner_rows(spark):
     odd = ["a  b", " a", "  a", "a \n b", "a\n", "<|endoftext|> x", "don't  stop\t\tnow", "é ü  ñ", "a b", "\x1c x", " "]
     rows = [(i, t, "en", "a", 1) for i, t in enumerate(odd)]
     found = packing.pack(spark.createDataFrame(rows, DOC_SCHEMA), with_ids=True).collect()
-    check_packing([r[:5] + (r["sequence_id"], r["offset"]) and r for r in found], rows)
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in found)
+    check_packing(found, rows)
     assert packing.pack(no_docs(spark)).collect() == []
 
 
@@ -515,11 +515,10 @@ def test_sketches_estimate_containment_and_merge():
     both = sketches.merged(sketches.sketch(x), sketches.sketch(y))
     assert sketches.compared(both, sketches.sketch(y))[0] > 0.9
     assert sketches.compared(sketches.sketch(b""), sketches.sketch(None))[0] == 1.0
-    assert json.dumps(sketches.sketch(b"one").tolist()) == json.dumps(sketches.sketch(b" ONE\n").tolist())
+    assert sketches.sketch(b"one").tolist() == sketches.sketch(b" ONE\n").tolist()
 
 
 def test_column_functions_agree_with_their_helpers(spark):
     frame = spark.createDataFrame([(prose(1, 50), prose(1, 60))], "a string, b string")
     row = frame.select(sketches.containment(sketches.sketch_column("a"), sketches.sketch_column("b")).alias("c")).first()
     assert row["c"]["in_other"] > 0.9 and row["c"]["of_other"] < 1
-    assert frame.select(F.size(F.array("a"))).count() == 1

@@ -12,7 +12,6 @@ of any length has as many shingles as words.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tramloom.llm.common import (
     Scratch, components, opened, read_table, roots, sealed, split_hot, whole_groups)
+from tramloom.llm.overlap import overlap_components, words_hashed
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -209,15 +210,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
-                     most_bits: int = MOST_BITS) -> DataFrame:
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, one row of each group of near-duplicates: that of the least
-    doc_id, ids that are null last; of rows with one id and one fingerprint, any one."""
+    doc_id, ids that are null last; of rows with one id and the same words, any one.
+
+    Near-duplicates are what links of at least ``overlap.TENTHS`` tenths Jaccard similarity
+    between sets of five-word shingles connect; every such link is found.  Texts without words
+    are alike.
+    """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
-    mark = fingerprint_column(shingle_words)
-    marked = scratch.save(
-        docs.select(F.col("doc_id").cast("long").alias("_id"), mark("text").alias("_fp")), "marked")
-    grouped = groups(marked.toDF("doc_id", "fp"), most_bits, scratch)
+    marked = scratch.save(docs.select(
+        F.col("doc_id").cast("long").alias("_id"), words_hashed("text").alias("_fp")), "marked")
+    texts = scratch.save(docs.select(words_hashed("text").alias("h"), "text").dropDuplicates(["h"]), "texts")
+    found = overlap_components(texts, scratch)
+    least = marked.groupBy("_fp").agg(F.min("_id").alias("first_id")).withColumnRenamed("_fp", "fp")
+    grouped = least.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp"))
     best = F.min(F.struct(F.isnull("first_id").alias("none"), "first_id", "fp")).alias("best")
     winners = grouped.groupBy("component").agg(best).select(
         F.col("best.fp").alias("_fp"), F.col("best.first_id").alias("_id"))
@@ -226,7 +234,8 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     winners = scratch.save(
         winners.join(often, (F.col("_fp") == F.col("_ofp")) & F.col("_id").eqNullSafe(F.col("_oid")))
         .select("_ofp", "_oid", "_n"), "winners")
-    kept = sealed(docs).withColumns({"_fp": mark("row.text"), "_id": F.col("row.doc_id").cast("long")}).join(
+    kept = sealed(docs).withColumns(
+        {"_fp": words_hashed("row.text"), "_id": F.col("row.doc_id").cast("long")}).join(
         winners, (F.col("_fp") == F.col("_ofp")) & F.col("_id").eqNullSafe(F.col("_oid")))
     once, more = kept.where("_n = 1"), kept.where("_n > 1").dropDuplicates(["_fp", "_id"])
     return opened(once, docs.columns).union(opened(more, docs.columns))

@@ -255,6 +255,15 @@ def test_line_classes_equal_brute_force(spark, monkeypatch):
     assert line_dedup.line_classes(no_docs(spark)).collect() == []
 
 
+def test_short_lines_have_rows_and_equal_ones_a_class(spark):
+    docs = [(1, "Same short line.\n\n  yes"), (2, "x\nyes\nSame short line!"), (3, "Same short line."),
+            (4, "A line of thirty-odd letters now"), (5, "A line of thirty-odd lettersnow")]
+    found = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"])
+             for r in line_dedup.line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == {(1, 0): (1, 0), (1, 2): (1, 2), (2, 0): (2, 0), (2, 1): (1, 2), (2, 2): (2, 2), (3, 0): (1, 0),
+                     (4, 0): (4, 0), (5, 0): (4, 0)}
+
+
 # ------------------------------------------------------------------ 5 simhash
 
 def plain_fingerprint(text):

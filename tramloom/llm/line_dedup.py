@@ -3,8 +3,8 @@
 Two lines within edit distance t share one of t + 1 segments: cut one line into t + 1 parts,
 and at most t of them can be touched by t edits.  So each line is indexed under its segments,
 with its length, and looks up those of its own substrings that could be a segment of a line
-that is up to t characters shorter.  Where a segment may start is bounded by the shift that
-the edits to its left and to its right allow.  Lines that meet are verified by banded
+that is up to t characters shorter; t grows with the length of the shorter line.  Where a
+segment may start is bounded by the shift that the edits to its left and to its right allow.  Lines that meet are verified by banded
 bit-parallel edit distance; linked lines form classes.
 
 Copies of a line are one node from the start.  Lookups that find no second line end in the
@@ -27,8 +27,11 @@ from tramloom.llm.common import (
     Scratch, components, opened, read_table, sealed, split_hot, whole_groups)
 
 EDITS = 2
-#: Shorter lines are never duplicates: they are too often alike by chance.
-LEAST_CHARS = 40
+#: Shorter lines have no row: blank ones only.
+LEAST_CHARS = 1
+#: One edit for so many characters of a pair's shorter line, up to ``EDITS``: short lines differ
+#: by little by chance, so they are linked to equal ones only.
+CHARS_PER_EDIT = 20
 #: Lines below one segment that a task compares; segments with more are dealt out.
 SEGMENT_ROWS = 2_000
 _SEEN_LINES = 200_000
@@ -109,6 +112,11 @@ def segments(length: int, count: int) -> list[tuple[int, int]]:
     return found
 
 
+def allowed(length: int, edits: int) -> int:
+    """Edits between a line of ``length`` characters and one that is not shorter."""
+    return min(edits, length // CHARS_PER_EDIT)
+
+
 def lookups(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     """(segment, line length, start, size) of the substrings that a line has to look up.
 
@@ -117,11 +125,27 @@ def lookups(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     """
     found = []
     for shorter in range(edits + 1):
-        other = length - shorter
-        for i, (start, size) in enumerate(segments(other, edits + 1)):
-            low = max(0, start - i, start + shorter - (edits - i))
-            high = min(length - size, start + i, start + shorter + (edits - i))
-            found += [(i, other, at, size) for at in range(low, high + 1)]
+        found += lookups_of(length, length - shorter, edits)
+    return found
+
+
+def lookups_of(length: int, other: int, edits: int) -> list[tuple[int, int, int, int]]:
+    """Those of ``lookups`` that are for lines of ``other`` characters, which is not more."""
+    found, shorter = [], length - other
+    for i, (start, size) in enumerate(segments(other, edits + 1)):
+        low = max(0, start - i, start + shorter - (edits - i))
+        high = min(length - size, start + i, start + shorter + (edits - i))
+        found += [(i, other, at, size) for at in range(low, high + 1)]
+    return found
+
+
+def scaled_lookups(length: int, edits: int) -> list[tuple[int, int, int, int]]:
+    """``lookups`` at the edits that each length allows; equal lines need none."""
+    found = []
+    for other in range(length, max(0, length - edits) - 1, -1):
+        own = allowed(other, edits)
+        if own and length - other <= own:
+            found += lookups_of(length, other, own)
     return found
 
 
@@ -139,8 +163,8 @@ def _segment_rows(edits: int):
                 seen.add(h)
                 n = len(line)
                 if n not in plans:
-                    plans[n] = lookups(n, edits)
-                own = segments(n, edits + 1)
+                    plans[n] = scaled_lookups(n, edits)
+                own = segments(n, allowed(n, edits) + 1)
                 for i, other, at, size in plans[n]:
                     key = xxhash.xxh64_intdigest(
                         f"{other}:{i}:{line[at:at + size]}".encode("utf-8", "surrogatepass"))
@@ -174,7 +198,7 @@ def _linked(edits: int):
                 for j, (h, _, text) in enumerate(lines):
                     for i in starts:
                         a, b = find(i), find(j)
-                        if a != b and within(lines[i][2], text, edits):
+                        if a != b and within(lines[i][2], text, allowed(min(len(lines[i][2]), len(text)), edits)):
                             root[b] = a
                             left.append(lines[i][0])
                             right.append(h)
@@ -198,7 +222,7 @@ def lines_of(docs: DataFrame, least_chars: int) -> DataFrame:
 
 
 def line_links(lines: DataFrame, scratch: Scratch, edits: int = EDITS) -> DataFrame:
-    """Links (a, b) of hashes that connect all ``lines`` (h, line) within ``edits`` edits."""
+    """Links (a, b) of hashes that connect all ``lines`` (h, line) within the edits their length allows."""
     looked_up = lines.select("h", "line").mapInArrow(
         _segment_rows(edits), "key long, h long, indexed boolean").repartition("key")
     met = Window.partitionBy("key")
@@ -219,7 +243,8 @@ def line_links(lines: DataFrame, scratch: Scratch, edits: int = EDITS) -> DataFr
 def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """One row per compared line: doc_id, text_hash, line_no, class_doc_id, class_line_no, kept.
 
-    A class is what links of at most ``edits`` edits connect; its first line, by doc_id (null
+    A class is what links of at most ``edits`` edits, fewer between short lines, connect; equal
+    lines of any length are in one.  Blank lines have no row.  A class's first line, by doc_id (null
     last) and line number, is kept.  Repeated rows of a document have equal lines at equal
     places; they are treated alike.  Lines are numbered from 0.
     """
@@ -264,5 +289,5 @@ def without_duplicate_lines(docs: DataFrame, edits: int = EDITS, least_chars: in
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of every line of ``LEAST_CHARS`` characters or more."""
+    """Class of every line that is not blank."""
     return line_classes(read_table(spark, sf_dir, "documents")).drop("text_hash")

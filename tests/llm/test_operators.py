@@ -419,6 +419,15 @@ def test_licences_on_documents_and_notices(spark, tmp_path):
     assert licenses.scan(no_docs(spark)).collect() == []
 
 
+def test_two_notices_in_one_file_are_both_found(spark, tmp_path):
+    rows = [(1000 + i, prose(i, 40), "en", "a", 1) for i in range(30)]
+    pairs = list(combinations(licenses.TEMPLATES, 2))
+    rows += [(i, f"{a[1]}. {prose(i, 20)} {b[1]}", "en", "a", 1) for i, (a, b) in enumerate(pairs)]
+    spark.createDataFrame(rows, DOC_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses.op7_licenses(spark, str(tmp_path)).collect()}
+    assert [i for i, (a, b) in enumerate(pairs) if not {a[0], b[0]} <= found[i]] == []
+
+
 def test_licences_equal_joins_in_sql(spark):
     con = duckdb.connect()
     con.execute("create view documents as select * from '/root/testdata/sf0.01/documents.parquet'")

@@ -1,10 +1,11 @@
 """License scans by a positional rare-token index, in DataFrame functions.
 
 The templates' words form the index: each word with its positions in each template, and its
-rarity (inverse document frequency) over all documents.  A file looks up its rarest licence
-words.  Each pair of a position in the file and one in the template votes for their
-difference, the place where the template would begin; a place with enough votes is aligned
-word by word, weighed by rarity, and must hold the template's key phrase where it belongs.
+rarity (inverse document frequency) over all documents.  For each template that a file's
+words could make up, the file looks up the rarest words of the template's key phrase.  Each pair of a position in the file and one in the template votes for their
+difference, the place where the template would begin.  A place must hold the key phrase where
+it belongs, so one without all these votes can't match; the others are aligned word by word,
+weighed by rarity.
 A template whose words in the file could not reach the needed weight is not looked up at all.
 
 All of this happens within a document's row.  Only the counts of the licence words, of which
@@ -57,8 +58,10 @@ TEMPLATES = (
 #: Everything but ASCII letters and digits and what is beyond ASCII separates words.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Distinct words that a file looks up.
+#: Distinct words that a file looks up in the SQL twin, for all templates together.
 RAREST = 12
+#: Distinct words of a template's key phrase that a file looks up.
+KEY_WORDS = 2
 #: Share of a template's weight that must be in place.
 COVERAGE = 0.6
 VOCABULARY = sorted({w for _, text, _ in TEMPLATES for w in text.split()}
@@ -121,9 +124,14 @@ def _base_places(words: Column, own: Column) -> Column:
     return F.concat(*[of_phrase(phrase.split(), label) for phrase, label in PHRASES])
 
 
-def _aligned(words: Column, rare: Column, template: Column) -> Column:
-    """label, start and coverage of the verified places of one template in a file."""
-    posts = F.filter(template["posts"], lambda p: F.array_contains(rare, p["word"]))
+def _aligned(words: Column, own: Column, template: Column) -> Column:
+    """label, start and coverage of the verified places of one template in a file.
+
+    ``own`` has the file's licence words, the rarest first.
+    """
+    rare = F.slice(F.array_intersect(own, template["key"]), 1, KEY_WORDS)
+    posts = F.filter(template["posts"], lambda p: F.array_contains(rare, p["word"]) & (
+        p["at"] >= template["key_at"]) & (p["at"] < template["key_at"] + F.size(template["key"])))
 
     def of_posts(looked_up: Column) -> Column:
         hits = F.filter(
@@ -131,7 +139,7 @@ def _aligned(words: Column, rare: Column, template: Column) -> Column:
             lambda h: F.exists(looked_up, lambda p: p["word"] == h["word"]))
         votes = F.array_sort(F.flatten(F.transform(hits, lambda h: F.transform(
             F.filter(looked_up, lambda p: p["word"] == h["word"]), lambda p: h["at"] - p["at"]))))
-        needed = F.greatest(F.lit(2), F.ceil(F.size(looked_up) * F.lit(COVERAGE)).cast("int"))
+        needed = F.size(looked_up)
         return bind(votes, lambda v: F.array_distinct(
             F.filter(v, lambda start, i: F.get(v, i + needed - 1) == start)))
 
@@ -162,8 +170,7 @@ def scan(docs: DataFrame) -> DataFrame:
         def of_own(own: Column) -> Column:
             possible = F.filter(templates, lambda t: _weight(
                 t["posts"], lambda p: F.array_contains(own, p["word"])) >= COVERAGE * t["total"])
-            notices = F.flatten(F.transform(
-                possible, lambda t: _aligned(words, F.slice(own, 1, RAREST), t)))
+            notices = F.flatten(F.transform(possible, lambda t: _aligned(words, own, t)))
             return F.struct(
                 F.size(words).cast("long").alias("n_words"), _base_places(words, own).alias("base"),
                 notices.alias("notices"))

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import random
-from itertools import combinations
-
 import pytest
 from corner import CLASHING, DOC_SCHEMA, corner_docs, no_docs, prose
-from test_operators import united
 
 import corpus_pipeline
-from tramloom.llm import overlap
 from tramloom.llm.line_dedup import without_duplicate_lines
 from tramloom.llm.mixing import mixed_documents
 from tramloom.llm.simhash import keep_one_of_each
@@ -55,33 +50,6 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
     assert sum(r["doc_id"] is None for r in kept) == 1  # the empty one went with 4
 
 
-def test_near_dedup_links_at_five_word_jaccard_of_0_8(spark, monkeypatch):
-    monkeypatch.setattr(overlap, "KEY_ROWS", 12)  # deal common keys out
-    rng = random.Random(5)
-    texts = []
-    for i in range(40):
-        words = prose(i, rng.randint(4, 120)).split()
-        texts.append(" ".join(words))
-        for _ in range(3):
-            own = list(words)
-            for _ in range(rng.randint(0, 3)):
-                own[rng.randrange(len(own))] = "other"
-            texts.append(" ".join(own))
-    passage = prose(700, 12)
-    texts += [f"{passage} {prose(800 + i, 30)}" for i in range(45)]  # not alike
-    base = prose(900, 70).split()
-    texts += [" ".join([*base[:k], f"w{k}", *base[k + 1:]]) for k in range(60)]  # some alike, all in one group
-    sets = []
-    for t in texts:
-        words = t.split()
-        sets.append({tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))})
-    pairs = [(i, j) for i, j in combinations(range(len(texts)), 2)
-             if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
-    root = united(len(texts), pairs)
-    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOC_SCHEMA)
-    assert {r["doc_id"] for r in keep_one_of_each(docs).collect()} == {i for i, r in enumerate(root) if r == i}
-
-
 def test_line_dedup_removes_later_lines_only(spark):
     kept = {(r["doc_id"], r["text"]) for r in without_duplicate_lines(corner_docs(spark)).collect()}
     texts = dict((k, t) for k, t in kept if k is not None)

@@ -26,7 +26,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8 or more)."""
+    """One document of each group whose four-word SimHash fingerprints link within four bits."""
     return keep_one_of_each(docs)
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import zipfile
+from pathlib import Path
 
 import pytest
 from small_feed import A, ROWS, agencies, column, feed
@@ -177,9 +178,7 @@ def test_dimensions(spark):
 
 
 def test_registry(tmp_path):
-    from conftest import ROOT
-
-    registry = load_registry(ROOT / "config" / "agencies.toml")
+    registry = load_registry(Path(__file__).resolve().parents[1] / "config" / "agencies.toml")
     assert [a.id for a in registry.agencies] == ["MTA_NYCT", "MTA_LIRR", "MTA_MNR"]
     assert registry.agency("MTA_NYCT").trip_id_match == "nyct_suffix"
     with pytest.raises(RegistryError):

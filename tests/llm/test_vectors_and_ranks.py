@@ -232,12 +232,20 @@ def test_tournament_tree_is_first_fit_decreasing(n):
     assert list(zip(bins.tolist(), offsets.tolist(), strict=True)) == plain_first_fit(lengths.tolist(), 100)
 
 
-def test_chunk_ids_equal_the_tokenizer_file():
+def test_chunk_ids_equal_the_tokenizer_file(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
-    plain, cached = Tokenizer.from_file(path), ffd_packing.SpacedTokenizer.of(path)
+    plain, cached = Tokenizer.from_file(path), ffd_packing.SpacedTokenizer(path)
+    monkeypatch.setattr(ffd_packing, "_CACHED_CHUNKS", 500)
+    monkeypatch.setattr(ffd_packing, "_WORDS_AT_ONCE", 7)
     rng = random.Random(2)
-    letters = [*"abAZé ñΣσßİ'\"#1٣½\n\t\r\x0b\x1c\x1f\x85\xa0́̀​　漢😀", "<|endoftext|>", "'ll", "  "]
-    for _ in range(5_000):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 24)))
+    letters = [*"abAZé ñΣσßİ'\"#1٣½\n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u0301\u0300\u200b\u3000漢😀.,!ä", "<|endoftext|>",
+               "'ll", "  ", " the", " Words,", "ǆ", "ﬁ", "e\u0301", "각"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 24))) for _ in range(5_000)]
+    texts += [prose(i, 30).title().replace(" ", rng.choice([" ", ", ", "\n", ". "])) for i in range(300)]
+    texts += ["<|ENDOFTEXT|> <|EndOfText|>.", "x" * 5_000, "ab" * 40 + ".", "İİ ǅ ΑΣ. ΌΣΟΣ"]
+    found = []
+    for at in range(0, len(texts), 50):
+        found += cached.id_bytes(texts[at:at + 50])
+    for text, ids in zip(texts, found, strict=True):
         expected = plain.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(cached.id_bytes(text), cached.kind).tolist() == expected
+        assert np.frombuffer(ids, cached.kind).tolist() == expected, text

@@ -12,15 +12,18 @@ The few tokens left become sequences whose lengths are powers of two, which need
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tramloom.llm.common import read_table
 
@@ -29,14 +32,22 @@ END_ID = 1
 #: Bytes of text that share a group: some thousand sequences.
 GROUP_BYTES = 8 << 20
 SEED = 13
-_CACHED_CHUNKS = 300_000
+#: Chunks of each of the two caches of a worker.
+_CACHED_CHUNKS = 400_000
+_WORDS_AT_ONCE = 2_000
+#: Characters that lower case, composition or Python's idea of white space may treat in another
+#: way than the tokenizer, and scripts that may still grow.
+_ODD = re.compile(r"[^\x00-\x1b\x20-\u012f\u0131-\u024f]")
+#: Marks between a letter and white space are one piece of their own.
+_END_MARKS = re.compile(r"(?<=[a-z\u00df-\u00f6\u00f8-\u00ff])[!-/:-@\[-`{-~]+(?!\S)")
 
 
 class SpacedTokenizer(dict):
     """Ids of whole texts for a tokenizer that drops white space and never joins across it.
 
     What stands between blanks has the same ids wherever it stands, so chunks are looked up and
-    only new ones are encoded.  The cache empties itself when it is full.
+    only new ones are encoded.  When the cache is full, it becomes the older one, from which
+    chunks that are used again return; the oldest go.
     """
 
     _loaded: dict[str, "SpacedTokenizer"] = {}
@@ -45,6 +56,16 @@ class SpacedTokenizer(dict):
         super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
+        self.older: dict[str, bytes] = {}
+        # For plain words, which the normalizer and the splitting pattern leave as they are.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.whole.model.end_of_word_suffix
+        self.ends_word = np.zeros(self.whole.get_vocab_size(), bool)
+        if suffix:
+            self.ends_word[[i for token, i in self.whole.get_vocab().items() if token.endswith(suffix)]] = True
 
     @classmethod
     def of(cls, path: str) -> "SpacedTokenizer":
@@ -53,16 +74,53 @@ class SpacedTokenizer(dict):
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _CACHED_CHUNKS:
-            self.clear()
-        found = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+    @staticmethod
+    def is_plain(word: str) -> bool:
+        """Letters only, in lower case and composed; of scripts whose letters are long settled."""
+        if word.isascii():
+            return word.isalpha() and word.islower()
+        return (word.isalpha() and not _ODD.search(word) and word == word.lower()
+                and unicodedata.is_normalized("NFC", word))
+
+    def keep(self, chunk: str, ids: bytes) -> None:
         if len(chunk) <= 64:
-            self[chunk] = found
+            if len(self) >= _CACHED_CHUNKS:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            found = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+        self.keep(chunk, found)
         return found
 
-    def id_bytes(self, text: str) -> bytes:
-        return b"".join([self[chunk] for chunk in text.replace("\n", " ").split(" ")])
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Encode the new plain words among ``chunks`` many at a time: each ends in one word-end token."""
+        words = [c for c in chunks if c not in self and c not in self.older and len(c) <= 64 and self.is_plain(c)]
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            own = words[at:at + _WORDS_AT_ONCE]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, self.kind)
+            ends = (np.nonzero(self.ends_word[ids])[0] + 1) * self.kind.itemsize
+            if len(ends) == len(own):  # otherwise the tokenizer has no such tokens: one by one
+                whole = ids.tobytes()
+                for word, start, end in zip(own, [0, *ends.tolist()], ends.tolist(), strict=False):
+                    self.keep(word, whole[start:end])
+
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        """What stands between blanks; where that is safe, in lower case and without a word's end marks."""
+        if "<|" in text or _ODD.search(text):
+            return text.replace("\n", " ").split(" ")
+        return _END_MARKS.sub(r" \g<0>", text.lower()).split()
+
+    def id_bytes(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text, as little-endian integers of ``kind``."""
+        cut = [self.chunks(text) for text in texts]
+        self.learn(set().union(*cut))
+        # An itemgetter of one key gives no tuple, so each list is looked up with one empty chunk more.
+        return [b"".join(itemgetter("", *own)(self)) for own in cut]
 
 
 # ------------------------------------------------------------------ placing
@@ -163,12 +221,12 @@ def _encoded(tokenizer_file: str, end_id: int, groups: int):
         tokenizer = SpacedTokenizer.of(tokenizer_file)
         end = np.array([end_id], tokenizer.kind).tobytes()
         for batch in batches:
-            ids = [tokenizer.id_bytes(text or "") + end for text in batch.column(1).to_pylist()]
-            group = batch.column(2).to_numpy() % groups
-            for at in range(0, len(ids), 256):
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                ids = tokenizer.id_bytes([text or "" for text in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 256), pa.array(ids[at:at + 256], pa.binary()),
-                     pa.array(group[at:at + 256])], schema=schema)
+                    [part.column(0), pa.array([i + end for i in ids], pa.binary()),
+                     pa.array(part.column(2).to_numpy() % groups)], schema=schema)
 
     return run
 

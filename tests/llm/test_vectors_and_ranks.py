@@ -240,12 +240,15 @@ def test_chunk_ids_equal_the_tokenizer_file(monkeypatch):
     rng = random.Random(2)
     letters = [*"abAZé ñΣσßİ'\"#1٣½\n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u0301\u0300\u200b\u3000漢😀.,!ä", "<|endoftext|>",
                "'ll", "  ", " the", " Words,", "ǆ", "ﬁ", "e\u0301", "각"]
+    latin = [*"aZéÑß×÷«».,;_'\"-İıŉǅ\u0131\xad\xb2\xbd\xaa\xa0 \n3", " ", "H", "h"]
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 24))) for _ in range(5_000)]
+    texts += ["".join(rng.choice(latin) for _ in range(rng.randint(0, 24))) for _ in range(5_000)]
+    texts += ["H\u0331 I\u0307 h\u0331,", "Ñ, é! ß.\u00d7,"]
     texts += [prose(i, 30).title().replace(" ", rng.choice([" ", ", ", "\n", ". "])) for i in range(300)]
     texts += ["<|ENDOFTEXT|> <|EndOfText|>.", "x" * 5_000, "ab" * 40 + ".", "İİ ǅ ΑΣ. ΌΣΟΣ"]
     found = []
     for at in range(0, len(texts), 50):
-        found += cached.id_bytes(texts[at:at + 50])
+        found += cached.id_bytes(t.encode() for t in texts[at:at + 50])
     for text, ids in zip(texts, found, strict=True):
         expected = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, cached.kind).tolist() == expected, text

@@ -25,8 +25,10 @@ from tramloom.plans.build import Cube
 from tramloom.session import prepare, shared_dir
 from tramloom.sources import dataset
 from tramloom.streaming import events as live
+from tramloom.streaming import replay as late_rows
 from tramloom.streaming import stateful
 from tramloom.streaming import windows as live_windows
+from tramloom.streaming.replay import replay, split_sink
 from tramloom.streaming.settings import StreamSettings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -949,21 +951,69 @@ def _stream_distinct_events(spark, sf_dir):
         live_windows.distinct_events(twice), "append").select("event_id", "route_key")
 
 
+# These run over several batches, in order of arrival: some events come over an hour after
+# their time.  Each slice is a query of its own on one checkpoint; a heartbeat closes the feed.
+_SLICES = 3
+
+
+def _replayed(spark: SparkSession, sf_dir: str, build, **options):
+    sent = fx.sent_events(spark, sf_dir)
+    return replay(sent, lambda raw: build(fx.as_events(raw)), _SLICES, closing=fx.closing_event(sent), **options)
+
+
 @query("stream_poll_diff", ORACLE["poll_diff"])
 def _stream_poll_diff(spark, sf_dir):
-    polls = fx.polls(_event_stream(spark, sf_dir))
-    running, results = stateful.poll_diff_stream(
-        polls, ["vehicle", "service_date"], ["zone", "schedule_relationship"])
-    running.awaitTermination()
-    return results()
+    changed, _ = _replayed(spark, sf_dir, lambda events: stateful.poll_diff_stream(
+        fx.polls(events), ["vehicle", "service_date"], ["zone", "schedule_relationship"], watermark=fx.LONGEST_WAY))
+    return changed.drop("batch")
 
 
 @query("stream_headway", f"""
     select event_id, headway::bigint::varchar as headway_seconds from ({_HEADWAY})""")
 def _stream_headway(spark, sf_dir):
-    running, results = stateful.headway_stream(_observed_stream(spark, sf_dir))
-    running.awaitTermination()
-    return results().select("event_id", text("headway_seconds"))
+    gaps, _ = _replayed(spark, sf_dir, lambda events: stateful.headway_stream(
+        fx.observed_calls(events), watermark=fx.LONGEST_WAY))
+    return gaps.select("event_id", text("headway_seconds"))
+
+
+_LATE = "floor(value * 10) >= 600"
+
+
+@query("stream_late_rows", f"""
+    select lpad(event_id::varchar, 16, '0') as event_id,
+      strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as actual_arrival,
+      floor(value * 10)::bigint as seconds_late, count(*) over () as counted
+    from events where {_LATE}""")
+def _stream_late_rows(spark, sf_dir):
+    """Rows too late for a watermark of ten minutes, set aside, with their number as observed."""
+    def build(events: DataFrame) -> DataFrame:
+        calls = fx.observed_calls(events, "received_at").where(F.col("event_id").isNotNull())
+        return late_rows.counted_late(calls, "actual_arrival", "received_at", 600)
+
+    found, reports = _replayed(
+        spark, sf_dir, build, sink=lambda root: split_sink(root, {"late": F.col("is_late")}))
+    way = F.unix_seconds("received_at") - F.unix_seconds("actual_arrival")
+    return found.where("part = 'late'").select(
+        "event_id", "actual_arrival", way.alias("seconds_late"),
+        F.lit(late_rows.observed_total(reports, "late", "late_rows")).cast("long").alias("counted"))
+
+
+def _on_time_sql(key: str, size: str) -> str:
+    late = f"(select lpad(event_id::varchar, 16, '0') from events where {_LATE})"
+    return _rolling_sql(key, size).replace(" from observed)", f" from observed where event_id not in {late})")
+
+
+@query("stream_windows_without_late", _on_time_sql("route_key", "1h"))
+def _stream_windows_without_late(spark, sf_dir):
+    """Windows over several batches: what is late is left out, all the rest is in."""
+    def build(events: DataFrame) -> DataFrame:
+        calls = fx.observed_calls(events, "received_at")
+        in_time = late_rows.counted_late(calls, "actual_arrival", "received_at", 600).where(
+            ~F.col("is_late") & F.col("event_id").isNotNull())
+        return live_windows.rolling_stream(in_time, "route_key", "1h", StreamSettings().watermark)
+
+    found, _ = _replayed(spark, sf_dir, build, mode="update")
+    return _shown_windows(live.newest(found, ["route_key", "window_start"]))
 
 
 @query("stream_health", ORACLE["stale_feeds"])

@@ -296,11 +296,12 @@ def as_events(events: DataFrame) -> DataFrame:
     return events.withColumns({"instant": F.col("ts").cast("timestamp"), "number": number})
 
 
-def observed_calls(events: DataFrame) -> DataFrame:
+def observed_calls(events: DataFrame, *more: str) -> DataFrame:
     """Stop events straight from the event table (batch or stream).
 
     The user number picks agency, route and direction, the JSON number the stop and
-    the value the delay.  The service date follows the four o'clock rule in UTC.
+    the value the delay.  The service date follows the four o'clock rule in UTC.  ``more``
+    names columns to carry along.
     """
     from tramloom.functions.clock import service_date_for
 
@@ -322,9 +323,28 @@ def observed_calls(events: DataFrame) -> DataFrame:
         (~ran).alias("is_cancelled"),
         relation.alias("schedule_relationship"),
         user.cast("string").alias("vehicle_id"),
+        *more,
     )
 
 
+#: The longest way of a message: no event's value reaches 700.
+LONGEST_WAY = "2 hours"
+
+
+def sent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as messages: an event arrives ten seconds a value after its time."""
+    way = F.make_dt_interval(secs=(F.col("value") * 10).cast("bigint"))
+    return table(spark, sf_dir, "events").withColumn("received_at", F.col("ts").cast("timestamp") + way)
+
+
+def closing_event(events: DataFrame) -> DataFrame:
+    """A heartbeat ten days after the last event: all columns but the time are null."""
+    late = F.max("ts") + F.make_dt_interval(days=F.lit(10))
+    kinds = {f.name: f.dataType for f in events.schema.fields}
+    return events.agg(late.alias("ts")).select(
+        *[F.col("ts") if c == "ts" else F.lit(None).cast(kinds[c]).alias(c) for c in events.columns])
+
+
 def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed_calls(_events(spark, sf_dir))
 

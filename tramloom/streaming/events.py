@@ -127,8 +127,12 @@ def run_available(stream: DataFrame, mode: str, keys: list[str] | None = None) -
     query.awaitTermination()
     schema = T.StructType([*stream.schema.fields, T.StructField("batch", sc.L)])
     stored = spark.read.schema(schema).option("basePath", table).parquet(f"{table}/batch=*")
-    if not keys:
-        return stored.drop("batch")
-    rest = [c for c in stream.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), "batch").alias("latest")
-    return stored.groupBy(*keys).agg(newest).select(*keys, "latest.*").select(stream.columns)
+    return newest(stored, keys) if keys else stored.drop("batch")
+
+
+def newest(stored: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of each key's last batch."""
+    columns = [c for c in stored.columns if c != "batch"]
+    rest = [c for c in columns if c not in keys]
+    latest = F.max_by(F.struct(*rest), "batch").alias("latest")
+    return stored.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(columns)

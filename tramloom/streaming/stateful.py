@@ -1,129 +1,218 @@
-"""Operators that remember the last row of a key across batches.
+"""Operators on Spark's keyed state, in event time.
 
-Each batch runs the batch operator and is joined to a small table with the last row
-per key, kept in the shared folder under the batch's number.  A repeated batch reads
-the state before it and writes the same result again.  Everything stays in joins,
-groupings and bounded windows, so a key that fills a batch is no special case.
+Rows of a key wait until the watermark has passed them; then they are handed on in the order
+of their time, however they arrived and wherever the batches were cut.  So the result equals
+the batch operator's over all rows that came no later than the watermark allows.  State lives
+in Spark's own store: a list of waiting rows, the last row handed on, and one timer a key.
+
+A key that stays silent is forgotten by a timer.  Heartbeats (rows that name no key) move the
+watermark while nothing else arrives; they leave no state and no result.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
+import json
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tramloom.functions import delay as delays
 from tramloom.operators import realtime as rt
-from tramloom.session import shared_dir
-
-#: (batch rows, last rows) -> (result rows, new last rows with a ``second`` column)
-Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
-
-
-def run_with_state(
-    stream: DataFrame, step: Step, result: T.StructType, state: T.StructType,
-    root: str | None = None, available_now: bool = True, forget_seconds: int | None = None,
-):
-    """Start a query that carries ``state`` from batch to batch.
-
-    With ``forget_seconds``, keys silent for that long before the newest row are dropped;
-    without it none is.  Returns (query, function reading the results so far).
-    """
-    spark = stream.sparkSession
-    root = root or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-
-    def last_rows(number: int) -> DataFrame:
-        if number < 0:
-            return spark.createDataFrame([], state)
-        return spark.read.schema(state).parquet(f"{root}/state/batch={number}")
-
-    def store(batch: DataFrame, number: int) -> None:
-        rows, kept = step(batch, last_rows(number - 1))
-        if forget_seconds is not None:
-            newest = kept.agg(F.max("second").alias("newest")).head().newest
-            if newest is not None:
-                kept = kept.where(F.col("second") > newest - forget_seconds)
-        rows.write.mode("overwrite").parquet(f"{root}/table/batch={number}")
-        kept.write.mode("overwrite").parquet(f"{root}/state/batch={number}")
-
-    writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint")
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    query = writer.foreachBatch(store).start()
-
-    def results() -> DataFrame:
-        stored = spark.read.schema(result).option("basePath", f"{root}/table")
-        return stored.parquet(f"{root}/table/batch=*").select(*result.names)
-
-    return query, results
-
 
-def _fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
-    return [T.StructField(n, df.schema[n].dataType, True) for n in names]
+#: Silence after which a key's last row is dropped; keys hold a service date, so none returns.
+FORGET_SECONDS = 2 * 86_400
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_keyed_state(spark: SparkSession) -> None:
+    """Keyed state with timers needs the RocksDB state store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+
+
+class _InOrder(StatefulProcessor):
+    """Hands the rows of a key on in order of (at, tie), once the watermark has passed them."""
+
+    def __init__(self, forget_seconds: int):
+        self.forget = 1000 * forget_seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "at long, body string")
+        self.last = handle.getValueState("last", "at long, body string")
+        self.timer = handle.getValueState("timer", "due long")
+
+    #: The watermark (in milliseconds) from which no earlier or equal row can come.
+    @staticmethod
+    def due(at: int) -> int:
+        raise NotImplementedError
+
+    @staticmethod
+    def order(row: tuple[int, str]):
+        return row
+
+    def follow(self, ready: list[tuple[int, str]], last: tuple[int, str] | None):
+        """Result rows, as column lists after the key, and the new last row."""
+        raise NotImplementedError
+
+    def result(self, key: str, found: dict[str, list]) -> pd.DataFrame:
+        raise NotImplementedError
+
+    def _set_timer(self, due: int) -> None:
+        if self.timer.exists():
+            set_for = self.timer.get()[0]
+            if set_for == due:
+                return
+            self.handle.deleteTimer(set_for)
+        self.handle.registerTimer(due)
+        self.timer.update((due,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not isinstance(key[0], str):  # a heartbeat
+            return
+        due = None
+        for batch in rows:
+            new = list(zip(batch["at"].tolist(), batch["body"].tolist(), strict=True))
+            self.waiting.appendList(new)
+            first = self.due(min(at for at, _ in new))
+            due = first if due is None else min(due, first)
+        if due is not None:
+            earlier = self.waiting_timer()
+            self._set_timer(due if earlier is None else min(due, earlier))
+        return
+        yield  # the results come when the timer expires
+
+    def waiting_timer(self) -> int | None:
+        """The timer of rows that wait already; a timer for forgetting does not count."""
+        if not self.timer.exists():
+            return None
+        due = self.timer.get()[0]
+        last = self.last.get() if self.last.exists() else None
+        return None if last is not None and due == self.due(last[0]) + self.forget else due
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = [(at, body) for at, body in self.waiting.get()]
+        ready = sorted((r for r in held if self.due(r[0]) <= passed), key=self.order)
+        later = [r for r in held if self.due(r[0]) > passed]
+        last = tuple(self.last.get()) if self.last.exists() else None
+        if ready:
+            found, last = self.follow(ready, last)
+            self.last.update(last)
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+            if len(next(iter(found.values()))):
+                yield self.result(key[0], found)
+        if later:
+            self._set_timer(min(self.due(at) for at, _ in later))
+        elif last is not None:
+            forget = self.due(last[0]) + self.forget
+            if forget <= passed:
+                self.last.clear()
+            else:
+                self._set_timer(forget)
+
+    def close(self) -> None:
+        pass
+
+
+class _Changes(_InOrder):
+    """Rows whose body differs from the one before; at is in microseconds."""
+
+    @staticmethod
+    def due(at: int) -> int:
+        return -(-at // 1000)
+
+    @staticmethod
+    def order(row: tuple[int, str]):
+        # Rows of one instant go by their payload's values, absent ones first.
+        return row[0], [(v is not None, v) for v in json.loads(row[1]).values()]
+
+    def follow(self, ready, last):
+        at, bodies = [], []
+        before = None if last is None else last[1]
+        for time, body in ready:
+            if body != before:
+                at.append(time)
+                bodies.append(body)
+            before = body
+        return {"at": at, "body": bodies}, ready[-1]
+
+    def result(self, key, found):
+        return pd.DataFrame({"_key": [key] * len(found["at"]), **found})
+
+
+class _Gaps(_InOrder):
+    """Whole seconds since the row before; at is in seconds, the body an id."""
+
+    @staticmethod
+    def due(at: int) -> int:
+        return 1000 * (at + 1)
+
+    def follow(self, ready, last):
+        gaps: list[int | None] = []
+        before = None if last is None else last[0]
+        for second, _ in ready:
+            gaps.append(None if before is None else second - before)
+            before = second
+        return {"event_id": [body for _, body in ready], "headway_seconds": gaps}, ready[-1]
+
+    def result(self, key, found):
+        return pd.DataFrame({
+            "event_id": found["event_id"], "headway_seconds": pd.array(found["headway_seconds"], "Int32")})
+
+
+def _keyed(rows: DataFrame, key: list[str], time: str, watermark: str, beat: Column, at: Column, body: Column):
+    known = F.to_json(F.struct(*key), _JSON)
+    return rows.withWatermark(time, watermark).select(
+        F.when(~beat, known).alias("_key"), F.col(time).alias("time"), at.alias("at"), body.alias("body"),
+    ).groupBy("_key")
+
+
+def _fields(df: DataFrame, names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, df.schema[n].dataType, True) for n in names])
 
 
 def poll_diff_stream(
-    polls: DataFrame, key: list[str], payload: list[str], time: str = "polled_at", **options
-):
-    """Updates that differ from the previous poll of their key, across batches.
+    polls: DataFrame, key: list[str], payload: list[str], time: str = "polled_at",
+    watermark: str = "10 minutes", forget_seconds: int = FORGET_SECONDS,
+) -> DataFrame:
+    """Updates that differ from the previous poll of their key, as a stream.
 
-    A poll not newer than the last one of an earlier batch is late and no change.
+    Polls equal in key, instant and payload are one poll.  A poll appears when the watermark
+    has passed it.  Polls without the first column of the key are heartbeats.
     """
-    columns = [*key, time, *payload]
-    result = T.StructType(_fields(polls, columns))
-    state = T.StructType([*result.fields, T.StructField("second", T.LongType())])
-    second = delays.epoch_second(F.col(time))
-
-    def step(batch: DataFrame, last: DataFrame) -> tuple[DataFrame, DataFrame]:
-        known = last.select(*key, F.col(time).alias("last_time"))
-        fresh = batch.select(*columns).join(known, key, "left").where(
-            F.col("last_time").isNull() | (F.col(time) > F.col("last_time"))
-        )
-        together = last.select(*columns).unionByName(fresh.select(*columns))
-        changed = rt.changed_between_polls(together, key, payload, time)
-        rows = changed.join(last.select(*key, time), [*key, time], "left_anti")
-        newest = F.max(F.struct(time, *payload)).alias("latest")
-        kept = together.groupBy(*key).agg(newest).select(*key, "latest.*")
-        return rows.select(*columns), kept.withColumn("second", second).select(*state.names)
-
-    return run_with_state(polls, step, result, state, **options)
-
-
-def headway_stream(events: DataFrame, **options):
-    """Event id and seconds since the previous vehicle of its key, across batches.
-
-    An arrival before the last one of an earlier batch is late; its gap is unknown.
+    use_keyed_state(polls.sparkSession)
+    changed = _keyed(
+        polls, key, time, watermark, F.isnull(key[0]), F.unix_micros(time), F.to_json(F.struct(*payload), _JSON),
+    ).transformWithStateInPandas(
+        _Changes(forget_seconds), "_key string, at long, body string", "Append", "EventTime")
+    own, rest = _fields(polls, key), _fields(polls, payload)
+    return changed.select(
+        F.from_json("_key", own, _JSON).alias("k"), F.timestamp_micros("at").alias(time),
+        F.from_json("body", rest, _JSON).alias("p"),
+    ).select(*[F.col("k").getField(k).alias(k) for k in key], time,
+             *[F.col("p").getField(p).alias(p) for p in payload])
+
+
+def headway_stream(
+    events: DataFrame, watermark: str = "10 minutes", forget_seconds: int = FORGET_SECONDS,
+) -> DataFrame:
+    """Event id and seconds since the previous vehicle of its key, as a stream.
+
+    An arrival appears when the watermark has passed its second; events without an arrival
+    have no place in the order and no row.  Events without an id are heartbeats.
     """
-    key = list(rt.HEADWAY_KEY)
-    result = T.StructType([
-        T.StructField("event_id", T.StringType()),
-        T.StructField("headway_seconds", T.IntegerType()),
-    ])
-    state = T.StructType([*_fields(events, key), T.StructField("second", T.LongType())])
-
-    def step(batch: DataFrame, last: DataFrame) -> tuple[DataFrame, DataFrame]:
-        second = delays.epoch_second(F.col("actual_arrival"))
-        timed = rt.with_headway(batch).where(F.col("actual_arrival").isNotNull())
-        timed = timed.withColumn("second", second)
-        before = last.withColumnRenamed("second", "before").alias("last")
-        same = [F.col(f"now.{k}").eqNullSafe(F.col(f"last.{k}")) for k in key]
-        met = timed.alias("now").join(before, same, "left")
-        # Inside the batch the gap is known; the first arrival looks at the batch before.
-        gap = (
-            F.when(F.col("before").isNull(), F.col("headway_seconds"))
-            .when(F.col("second") < F.col("before"), F.lit(None).cast("int"))
-            .when(F.col("headway_seconds").isNull()
-                  | (F.col("second") - F.col("headway_seconds") < F.col("before")),
-                  F.col("second") - F.col("before"))
-            .otherwise(F.col("headway_seconds"))
-        )
-        rows = met.select("event_id", gap.cast("int").alias("headway_seconds"))
-        kept = last.unionByName(timed.select(*key, "second")).groupBy(*key).agg(
-            F.max("second").alias("second")
-        )
-        return rows, kept.select(*state.names)
-
-    return run_with_state(events, step, result, state, **options)
+    use_keyed_state(events.sparkSession)
+    return _keyed(
+        events, list(rt.HEADWAY_KEY), "actual_arrival", watermark, F.isnull("event_id"),
+        delays.epoch_second(F.col("actual_arrival")), F.col("event_id"),
+    ).transformWithStateInPandas(
+        _Gaps(forget_seconds), "event_id string, headway_seconds int", "Append", "EventTime")

@@ -1016,6 +1016,21 @@ def _stream_windows_without_late(spark, sf_dir):
     return _shown_windows(live.newest(found, ["route_key", "window_start"]))
 
 
+def _sketched(key: str, size: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found, _ = _replayed(spark, sf_dir, lambda events: live_windows.sketched_stream(
+            fx.observed_calls(events), key, size, fx.LONGEST_WAY))
+        return _shown_windows(found.drop("batch"))
+
+    return run
+
+
+# Panes of up to SKETCH_K delays are kept whole, so here the percentiles are exact.
+for _key in ("route_key", "stop_key"):
+    for _size in ("1h", "24h"):
+        query(f"stream_sketched_{_key.removesuffix('_key')}_{_size}", _rolling_sql(_key, _size))(_sketched(_key, _size))
+
+
 @query("stream_health", ORACLE["stale_feeds"])
 def _stream_health(spark, sf_dir):
     stale = live_windows.health_stream(fx.polls(_event_stream(spark, sf_dir)))

@@ -62,6 +62,64 @@ def rolling_streams(
     }
 
 
+#: Length of a pane in seconds: every window is made of whole panes.
+PANE_SECONDS = 300
+#: Size parameter of the delay sketches: about 600 kept values at most, and a percentile's rank
+#: within 1.7 points of a hundred with 99 % confidence; up to K values are all kept, so exact.
+SKETCH_K = 200
+
+
+def pane_sketches(
+    events: DataFrame, keys: list[str], watermark: str = "10 minutes", threshold: int = delays.ON_TIME_SECONDS,
+) -> DataFrame:
+    """Statistics of each key's five-minute panes, with a mergeable sketch of the delays."""
+    timed = rt.usable(events.where(F.col("actual_arrival").isNotNull()))
+    if watermark:
+        timed = timed.withWatermark("actual_arrival", watermark)
+    delay = F.when(F.col("measured"), F.col("delay_seconds")).cast("bigint")
+    return timed.withColumn("delay", delay).groupBy(
+        *keys, F.window("actual_arrival", f"{PANE_SECONDS} seconds").alias("pane"),
+    ).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count("delay").alias("measured_events"),
+        F.sum("delay").alias("delay_total"),
+        F.count_if(delays.on_time(F.col("delay"), threshold)).alias("on_time_events"),
+        F.kll_sketch_agg_bigint("delay", SKETCH_K).alias("sketch"),
+    )
+
+
+def windows_of_panes(panes: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Rolling windows made of finished panes: a pane, not its events, enters each window."""
+    length, slide = rt.ROLLING[size]
+    if length == PANE_SECONDS:
+        windows = panes.withColumnRenamed("pane", "span")
+    else:
+        # A window of panes takes the pane's last instant, so it holds whole panes.
+        span = F.window(F.window_time("pane"), f"{length} seconds", f"{slide} seconds").alias("span")
+        windows = panes.groupBy(*keys, span).agg(
+            *[F.sum(c).alias(c) for c in ("events", "measured_events", "delay_total", "on_time_events")],
+            F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"))
+    return windows.withColumns({
+        "window_start": F.col("span.start"), "window_end": F.col("span.end"),
+        **{name: F.when(  # an empty sketch has no quantile
+            F.col("measured_events") > 0, F.kll_sketch_get_quantile_bigint("sketch", F.lit(share / 100)))
+           for name, share in rt.PERCENTILES.items()},
+    }).select(*rt.window_columns(keys))
+
+
+def sketched_stream(
+    events: DataFrame, key: str | list[str], size: str = "1h", watermark: str = "10 minutes",
+    threshold: int = delays.ON_TIME_SECONDS,
+) -> DataFrame:
+    """Rolling statistics with sketched percentiles, as finished windows (append mode).
+
+    State is one sketch of bounded size per key and open pane or window, whatever the traffic
+    and however many different delays there are.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    return windows_of_panes(pane_sketches(events, keys, watermark, threshold), keys, size)
+
+
 def anomaly_stream(
     windows: DataFrame,
     baseline: DataFrame,

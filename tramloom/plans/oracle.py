@@ -199,18 +199,20 @@ CTES = {
         from events""",
     "measured": """select * from observed where schedule_relationship = 'SCHEDULED'
           and not is_cancelled and delay_seconds is not null""",
-    "upd": f"""select f.agency_id, f.service_date,
-          case when e.event_id % 5 in (1, 3) then 'RT_x_' || split_part(f.trip_id, '_', 2)
-            else f.trip_id end || case when value > 200 then '-extra' else '' end as trip_id,
-          f.stop_id || case when e.event_id % 5 in (1, 3) then
-            case when user_id % 2 = 0 then 'N' else 'S' end else '' end as stop_id,
+    "upd": f"""select e.agency_id, coalesce(f.service_date, e.ts::date) as service_date,
+          case when e.event_id % 5 in (1, 3) then 'RT_x_' || split_part(e.trip_id, '_', 2)
+            else e.trip_id end || case when value > 200 then '-extra' else '' end as trip_id,
+          coalesce(f.stop_id, (regexp_extract(props, '[0-9]+')::bigint % 20)::varchar)
+            || case when e.event_id % 5 in (1, 3) then
+              case when user_id % 2 = 0 then 'N' else 'S' end else '' end as stop_id,
           e.ts as polled_at, case when event_type is distinct from 'signup'
-            then f.arr + trunc(value * 6 - 120)::bigint end as actual,
+            then coalesce(f.arr + trunc(value * 6 - 120)::bigint, floor(epoch(e.ts))::bigint)
+            end as actual,
           {relationship('event_type')} as schedule_relationship,
           event_type = 'signup' as is_cancelled, user_id::varchar as vehicle_id
-        from facts f join region on r_name = f.agency_id
-        join (select *, {_trip_id('event_id')} as trip_id from events) e
-          on e.event_id % 5 = r_regionkey and e.trip_id = f.trip_id""",
+        from (select ev.*, r_name as agency_id, {_trip_id('event_id')} as trip_id
+          from events ev join region on event_id % 5 = r_regionkey) e
+        left join facts f on f.agency_id = e.agency_id and f.trip_id = e.trip_id""",
     "upd_latest": """select * from upd qualify row_number() over (
           partition by agency_id, service_date, trip_id, stop_id
           order by polled_at desc, actual desc nulls last,

@@ -350,38 +350,44 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def updates(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
-    """Realtime updates: each event reports one vehicle, and through it a trip's calls.
+    """Realtime updates: each event reports one vehicle, and through it a trip's calls."""
+    return updates_of(_events(spark, sf_dir), spark, sf_dir, facts)
 
-    The ids are written the way a realtime feed writes them: another run prefix and
-    a direction letter where the agency uses them, and some trips nobody scheduled.
+
+def updates_of(events: DataFrame, spark: SparkSession, sf_dir: str, facts: DataFrame, *more: str) -> DataFrame:
+    """The updates that ``events`` (batch or stream) report; ``more`` names columns to carry along.
+
+    The ids are written the way a realtime feed writes them: another run prefix and a direction
+    letter where the agency uses them, and some trips nobody scheduled.  An event whose trip has
+    no scheduled call is an update as well, of a trip and a stop of its own on its own date.
     """
-    events = _with_agency(
-        _events(spark, sf_dir), F.col("event_id") % AGENCY_COUNT, spark, sf_dir
-    ).withColumn("trip_id", _trip_id(F.col("event_id")))
+    reported = _with_agency(events, F.col("event_id") % AGENCY_COUNT, spark, sf_dir).withColumn(
+        "trip_id", _trip_id(F.col("event_id")))
     calls = facts.select(
-        "agency_id", "trip_id", "service_date", "stop_id", "scheduled_arrival"
-    )
-    rows = calls.join(events, ["agency_id", "trip_id"])
+        "agency_id", "trip_id", F.col("service_date").alias("call_date"), F.col("stop_id").alias("call_stop"),
+        F.col("scheduled_arrival").alias("call_at"))
+    rows = reported.join(calls, ["agency_id", "trip_id"], "left")
     relation = relationship(F.col("event_type"))
     ran = F.coalesce(relation != "CANCELED", F.lit(True))
     late = (F.col("value") * 6 - 120).cast("int")
-    arrival = F.timestamp_seconds(F.unix_seconds("scheduled_arrival") + late)
+    arrival = F.coalesce(F.unix_seconds("call_at") + late, F.unix_seconds("instant"))
     suffixed = F.col("region").isin(1, 3)
     unknown = F.col("value") > 200
     realtime_trip = F.when(suffixed, F.concat(F.lit("RT_x_"), F.element_at(
         F.split("trip_id", "_"), -1))).otherwise(F.col("trip_id"))
+    stop = F.coalesce("call_stop", (F.col("number") % 20).cast("string"))
     return rows.select(
-        "agency_id", "service_date",
+        "agency_id", F.coalesce("call_date", F.col("instant").cast("date")).alias("service_date"),
         F.when(unknown, F.concat(realtime_trip, F.lit("-extra"))).otherwise(realtime_trip)
         .alias("trip_id"),
-        F.when(suffixed, F.concat("stop_id", F.when(F.col("user_id") % 2 == 0, "N")
-                                  .otherwise("S"))).otherwise(F.col("stop_id"))
-        .alias("stop_id"),
+        F.when(suffixed, F.concat(stop, F.when(F.col("user_id") % 2 == 0, "N").otherwise("S")))
+        .otherwise(stop).alias("stop_id"),
         F.col("instant").alias("polled_at"),
-        F.when(ran, arrival).alias("actual_arrival"),
+        F.when(ran, F.timestamp_seconds(arrival)).alias("actual_arrival"),
         relation.alias("schedule_relationship"),
         (~ran).alias("is_cancelled"),
         F.col("user_id").cast("string").alias("vehicle_id"),
+        *more,
     )
 
 

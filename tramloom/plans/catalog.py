@@ -25,11 +25,13 @@ from tramloom.plans.build import Cube
 from tramloom.session import prepare, shared_dir
 from tramloom.sources import dataset
 from tramloom.streaming import events as live
+from tramloom.streaming import matching
 from tramloom.streaming import replay as late_rows
 from tramloom.streaming import stateful
 from tramloom.streaming import windows as live_windows
-from tramloom.streaming.replay import replay, split_sink
+from tramloom.streaming.replay import replay
 from tramloom.streaming.settings import StreamSettings
+from tramloom.streaming.sinks import BatchFolders, KeptTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -904,13 +906,6 @@ def _stream_window_flush(spark, sf_dir):
     return _shown_windows(spark.read.schema(windows.schema).parquet(f"{root}/table"))
 
 
-@query("stream_current_stats", ORACLE["current_stats"])
-def _stream_current_stats(spark, sf_dir):
-    windows = live.run_available(
-        _live_windows(spark, sf_dir, "route_key", "1h"), "update", ["route_key", "window_start"])
-    return rt.current_stats(windows, "route_key").select("route_key", "window_start", "events")
-
-
 @query("stream_alert_messages", f"""
     select route_key as key, window_start, measured_events::varchar as measured_events
     from ({ORACLE["anomalies"]})""")
@@ -991,7 +986,7 @@ def _stream_late_rows(spark, sf_dir):
         return late_rows.counted_late(calls, "actual_arrival", "received_at", 600)
 
     found, reports = _replayed(
-        spark, sf_dir, build, sink=lambda root: split_sink(root, {"late": F.col("is_late")}))
+        spark, sf_dir, build, sink=lambda root: BatchFolders(root, {"late": F.col("is_late")}))
     way = F.unix_seconds("received_at") - F.unix_seconds("actual_arrival")
     return found.where("part = 'late'").select(
         "event_id", "actual_arrival", way.alias("seconds_late"),
@@ -1031,6 +1026,57 @@ for _key in ("route_key", "stop_key"):
         query(f"stream_sketched_{_key.removesuffix('_key')}_{_size}", _rolling_sql(_key, _size))(_sketched(_key, _size))
 
 
+@query("stream_current_stats", ORACLE["current_stats"])
+def _stream_current_stats(spark, sf_dir):
+    """The newest window of every route, as a table kept by the batches."""
+    found, _ = _replayed(
+        spark, sf_dir, lambda events: live_windows.rolling_stream(
+            fx.observed_calls(events).where(F.col("event_id").isNotNull()), "route_key", "1h", fx.LONGEST_WAY),
+        mode="update", sink=live_windows.current_table)
+    return found.select("route_key", "window_start", "events")
+
+
+@query("stream_realtime_match", ORACLE["realtime_match"])
+def _stream_realtime_match(spark, sf_dir):
+    """Updates matched batch by batch; of each the newest is kept."""
+    facts, agencies = _facts(spark, sf_dir), fx.agencies(spark, sf_dir)
+    found, _ = _replayed(
+        spark, sf_dir, lambda events: fx.updates_of(events, spark, sf_dir, facts),
+        sink=lambda root: matching.matched_table(root, facts, agencies, by=8))
+    return found.select("agency_id", "service_date", "trip_id", "stop_id", "match_status",
+                        "scheduled_arrival", "actual_arrival")
+
+
+_BROKEN, _UNKNOWN = "event_id % 17 = 3", "event_id % 19 = 4"
+
+
+@query("stream_sorted_messages", f"""
+    select lpad(event_id::varchar, 16, '0') as event_id,
+      case when {_BROKEN} or {_UNKNOWN} then 'malformed'
+        when event_type in ('click', 'view') and value is not null then 'rest' else 'unmeasured' end as part,
+      case when not ({_BROKEN} or {_UNKNOWN}) and event_type in ('click', 'view')
+        then trunc(value * 6 - 120)::bigint::varchar end as delay_seconds
+    from events""")
+def _stream_sorted_messages(spark, sf_dir):
+    """Messages, some broken or of an unknown kind: set aside, kept unaveraged, or measured."""
+    def build(events: DataFrame) -> DataFrame:
+        calls = fx.observed_calls(events).where(F.col("event_id").isNotNull())
+        value = F.col("value")
+        sent = live.render_stop_events(calls).withColumn(
+            "number", F.get_json_object("value", "$.event_id").cast("long"))
+        lost = F.regexp_replace(value, '"schedule_relationship":("[A-Z]*"|null)', '"schedule_relationship":"LOST"')
+        cut = F.substr(value, F.lit(1), F.length(value) - 5)
+        number = F.col("number")
+        return live.parse_stop_events(sent.select(
+            F.when(number % 17 == 3, cut).when(number % 19 == 4, lost).otherwise(value).alias("value")))
+
+    found, _ = _replayed(spark, sf_dir, build, sink=live.sorted_out)
+    told = F.regexp_extract("malformed", '"event_id":"([0-9]+)"', 1)
+    return found.select(
+        F.coalesce("event_id", told).alias("event_id"), "part",
+        F.when(F.col("part") == "rest", F.col("delay_seconds")).cast("string").alias("delay_seconds"))
+
+
 @query("stream_health", ORACLE["stale_feeds"])
 def _stream_health(spark, sf_dir):
     stale = live_windows.health_stream(fx.polls(_event_stream(spark, sf_dir)))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramloom import schemas as sc
+from tramloom.functions import delay as delays
 from tramloom.session import shared_dir
+from tramloom.streaming.sinks import BatchFolders
 
 _QUARANTINE = T.StructType([*sc.STOP_EVENT.fields, T.StructField("_corrupt", sc.S)])
 
@@ -86,6 +88,17 @@ def write_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str):
     )
 
 
+def sorted_out(root: str) -> BatchFolders:
+    """The sink that writes parsed messages once, in three parts: ``malformed`` ones as text,
+    ``unmeasured`` ones (cancelled, added, of an unstated kind, without a delay), and the rest,
+    whose delay may be averaged.
+    """
+    measurable = delays.measurable(
+        F.col("schedule_relationship"), F.col("is_cancelled"), F.col("delay_seconds"))
+    return BatchFolders(root, {
+        "malformed": F.col("malformed").isNotNull(), "unmeasured": ~F.coalesce(measurable, F.lit(False))})
+
+
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, name: str) -> DataFrame:
     """Parquet files of one name in a folder as a stream."""
     return (

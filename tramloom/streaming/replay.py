@@ -1,4 +1,4 @@
-"""Stored rows as a live feed, and sinks that keep what a stream sorts out.
+"""Stored rows as a live feed, in order of arrival, and what comes too late.
 
 A replay hands a table to a stream slice by slice, in order of arrival.  The query is started
 anew for every slice on one checkpoint, as after a restart: state, offsets and results must
@@ -9,18 +9,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from tramloom.session import shared_dir
-
-#: Writes the rows of a batch under the batch's number.
-BatchSink = Callable[[DataFrame, int], None]
-
+from tramloom.streaming.sinks import BatchFolders, Sink
 
 def cuts(rows: DataFrame, arrived: str, slices: int) -> list:
     """Instants that cut ``rows`` into about equal slices by time of arrival."""
@@ -29,28 +24,14 @@ def cuts(rows: DataFrame, arrived: str, slices: int) -> list:
     return sorted(set(found or []))
 
 
-def split_sink(root: str, parts: dict[str, Column]) -> BatchSink:
-    """Each batch is written once, split by the first condition of ``parts`` that holds for a row.
-
-    The parts are folders of one table, ``part``, below the batch's own folder: a repeated batch
-    replaces itself, and nothing is in two parts or in none (``rest`` takes what no condition does).
-    """
-    def store(batch: DataFrame, number: int) -> None:
-        name = reduce(lambda other, p: F.when(p[1], p[0]).otherwise(other), reversed(parts.items()), F.lit("rest"))
-        batch.withColumn("part", name).write.mode("overwrite").partitionBy("part").parquet(f"{root}/batch={number}")
-
-    return store
-
-
 def replay(
     rows: DataFrame, build: Callable[[DataFrame], DataFrame], slices: int, arrived: str = "received_at",
-    mode: str = "append", closing: DataFrame | None = None,
-    sink: Callable[[str], BatchSink] | None = None,
+    mode: str = "append", closing: DataFrame | None = None, sink: Callable[[str], Sink] = BatchFolders,
 ) -> tuple[DataFrame, list[StreamingQueryProgress]]:
     """Run ``build`` over ``rows`` in slices by ``arrived``; ``closing`` rows come as one slice more.
 
-    Returns the table of all results (with the columns batch, and part where the sink has parts)
-    and the progress reports of all batches.
+    ``sink`` makes the sink for a folder.  Returns what it holds in the end and the progress
+    reports of all batches.
     """
     spark = rows.sparkSession
     root = f"{shared_dir(spark)}/replay-{uuid.uuid4().hex}"
@@ -61,7 +42,7 @@ def replay(
         after = F.lit(True) if low is None else F.coalesce(at > low, F.lit(False))  # unknown arrivals come first
         own.append(rows.where(after & (F.lit(True) if high is None else F.coalesce(at <= high, F.lit(True)))))
     own += [] if closing is None else [closing.select(*rows.columns)]
-    store = (sink or _plain_sink)(f"{root}/table")
+    held = sink(f"{root}/table")
     reports: list[StreamingQueryProgress] = []
     stream = None
     for k, part in enumerate(own):
@@ -69,24 +50,10 @@ def replay(
         stream = build(spark.readStream.schema(rows.schema).parquet(f"{root}/input/*"))
         query = (
             stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint")
-            .foreachBatch(store).trigger(availableNow=True).start())
+            .foreachBatch(held.store).trigger(availableNow=True).start())
         query.awaitTermination()
         reports += query.recentProgress
-    return read_batches(spark, f"{root}/table", stream.schema, sink is not None), reports
-
-
-def _plain_sink(root: str) -> BatchSink:
-    def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={number}")
-
-    return store
-
-
-def read_batches(spark: SparkSession, table: str, schema: T.StructType, parts: bool) -> DataFrame:
-    """What batches have written below ``table``."""
-    extra = [T.StructField("batch", T.LongType()), *([T.StructField("part", T.StringType())] if parts else [])]
-    return spark.read.schema(T.StructType([*schema.fields, *extra])).option("basePath", table).parquet(
-        f"{table}/batch=*")
+    return held.read(spark, stream.schema), reports
 
 
 # --- late rows ------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tramloom.functions import delay as delays
 from tramloom.operators import realtime as rt
 from tramloom.streaming.settings import StreamSettings
+from tramloom.streaming.sinks import KeptTable
 
 
 def distinct_events(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
@@ -120,6 +121,11 @@ def sketched_stream(
     return windows_of_panes(pane_sketches(events, keys, watermark, threshold), keys, size)
 
 
+def current_table(root: str) -> KeptTable:
+    """The sink that keeps the newest window of every route; a window's later counts replace earlier ones."""
+    return KeptTable(root, ["route_key"], ["window_start", "events"])
+
+
 def anomaly_stream(
     windows: DataFrame,
     baseline: DataFrame,

@@ -7,11 +7,6 @@ calendar tables never opens the stop times.
 
 from __future__ import annotations
 
-import csv
-import io
-import re
-import zipfile
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tramloom import schemas as sc
 from tramloom.errors import FeedError
+from tramloom.sources.archive import DIRECTORY, scan
 
 
 @dataclass(frozen=True)
@@ -147,81 +143,28 @@ def read_folder(spark: SparkSession, folder: str, agency_id: str) -> Feed:
 
 # --- archives -------------------------------------------------------------
 
-_RECORDS = "path string, record long, cells map<string,string>"
-
-
-def _base_name(member: str) -> str:
-    return re.split(r"[/\\]", member)[-1].lower()
-
-
-def _member_names(batches: Iterator) -> Iterator:
-    import pandas as pd
-
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    names = [_base_name(n) for n in archive.namelist()]
-            except zipfile.BadZipFile as error:
-                raise ValueError(f"{path} is not a zip archive") from error
-            yield pd.DataFrame({"path": path, "member": names})
-
-
-def _member_records(member: str, chunk: int = 20_000):
-    """Task function: stream one member of each archive as header-named records."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    found = [n for n in archive.namelist() if _base_name(n) == member]
-                    if not found:
-                        continue
-                    with archive.open(found[0]) as raw:
-                        text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                        reader = csv.reader(text)
-                        header = [h.strip() for h in next(reader, [])]
-                        buffer: list[tuple] = []
-                        # The header is record 1, as a text editor counts.
-                        for number, cells in enumerate((r for r in reader if r), start=2):
-                            named = dict(zip(header, cells, strict=False))
-                            buffer.append((path, number, named))
-                            if len(buffer) == chunk:
-                                yield pd.DataFrame(buffer, columns=["path", "record", "cells"])
-                                buffer = []
-                        if buffer:
-                            yield pd.DataFrame(buffer, columns=["path", "record", "cells"])
-
-    return run
-
 
 def read_archive_member(
     spark: SparkSession, path: str, table: sc.FeedTable, agency_id: str
 ) -> DataFrame:
-    """One member of a zip archive.
+    """One table of a zip archive, bound by header names.
 
-    A zip archive can only be read from one end, so each archive is one task; the
-    records are spread out again before anything else is done with them.
+    An archive's member is one task, as it can only be inflated from its start; stop times are
+    spread out again before anything else is done with them.
     """
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    records = archives.mapInPandas(_member_records(table.file), _RECORDS)
+    names = [name for name, _ in (*table.required, *table.optional)]
+    records = scan(spark, path, table.file, names)
     if table.name == "stop_times":
         records = records.hint("rebalance")
-    cells = {
-        name: F.col("cells").getItem(name) for name, _ in (*table.required, *table.optional)
-    }
     where = F.concat(
         F.col("path"), F.lit(f" {table.file} record "), F.col("record").cast("string")
     )
-    return bind(records, table, agency_id, cells, where)
+    return bind(records, table, agency_id, {n: F.col(f"`{n}`") for n in names}, where)
 
 
 def read_archive(spark: SparkSession, path: str, agency_id: str) -> Feed:
     """A zip archive; members are found by base name, in any letter case."""
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    listing = archives.mapInPandas(_member_names, "path string, member string")
+    listing = scan(spark, path, DIRECTORY, [])
     members = {row.member for row in listing.select("member").distinct().collect()}
     return _assemble(
         spark,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,39 @@ def test_cube_of_three_rows(spark):
     assert [(r.borough, r.scheduled_stops) for r in by_borough] == [("Bronx", 3)]
 
 
+@pytest.mark.parametrize("levels", [[], ["local_hour"], ["display_name", "service_period"]])
+def test_scenarios_as_differences_equal_copied_facts(spark, levels):
+    rng = random.Random(8)
+    one = facts(spark)
+    many = one.crossJoin(spark.createDataFrame([
+        (i, f"R{rng.randrange(4)}", rng.choice([None, *range(-90, 900, 30)]), rng.choice(["SCHEDULED", "ADDED", None]))
+        for i in range(120)], "i int, route string, late int, kind string")).withColumns({
+            "route_key": F.concat(F.lit("MTA_NYCT:"), "route"), "delay_seconds": F.col("late"),
+            "schedule_relationship": F.col("kind"), "is_cancelled": F.col("i") % 11 == 0,
+            "trip_id": F.concat("trip_id", F.col("i") % 17)}).select(*one.columns)
+    routes = spark.createDataFrame(
+        [(f"MTA_NYCT:R{i}", f"R{i}", "MTA_NYCT", "subway", 1, f"{i}", None, f"{i}", None) for i in range(3)], sc.ROUTES)
+    tables = cube.Dimensions.of(routes, spark.createDataFrame([], sc.STOPS),
+                                dimensions.calendar_dimension(one, spark.createDataFrame([], "holiday date")))
+    overrides = spark.createDataFrame(
+        [("relief", "MTA_NYCT:R0", "AM Peak", -60), ("relief", "MTA_NYCT:R1", "AM Peak", 45),
+         ("storm", "MTA_NYCT:R3", "PM Peak", 600), ("unasked", "MTA_NYCT:R0", "PM Peak", 1)],
+        "scenario string, route_key string, service_period string, delay_change int")
+    on, asked = ["route_key", "service_period"], ["relief", "storm", "nothing"]
+    measures = ["scheduled_stops", "scheduled_trips", "measured_stops", "mean_delay_seconds", "p50_delay_seconds",
+                "p99_delay_seconds", "on_time_share", "adherence_score", "mean_dwell_seconds"]
+    found = cube.cube_scenarios(many, tables, overrides, asked, on, measures, levels)
+    copied = rt.scenario_facts(many, overrides.where("scenario != 'unasked'"), asked, on)
+    expected = cube.cube_query(copied, tables, measures, levels, by=["scenario"])
+
+    def shown(frame):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                       for r in frame.select("scenario", *expected.columns[1:]).collect()), key=repr)
+
+    assert shown(found) == shown(expected)
+    assert {r.scenario for r in found.collect()} == {"base", *asked}
+
+
 def test_matching_guesses_nothing(spark):
     day = dt.date(2026, 5, 26)
     agencies = spark.createDataFrame([("MTA_NYCT", "nyct_suffix", True)], AGENCIES)

@@ -257,12 +257,18 @@ class Dimensions:
 Members = Mapping[str, Iterable]
 
 
-def _shrink(facts: DataFrame, keys: list[str], needs: list[str], sums: list[str]) -> DataFrame:
-    """Step 1: one row per key combination and counted value, with the plain sums."""
+def _shrink(
+    facts: DataFrame, keys: list[str], needs: list[str], sums: list[str], sign: Column | None = None
+) -> DataFrame:
+    """Step 1: one row per key combination and counted value, with the plain sums.
+
+    With ``sign`` a fact counts as often as it says: -1 takes one away.
+    """
     texts = [n for n in needs if n in _TEXT_VALUES]
     numbers = [n for n in needs if n in _NUMBER_VALUES]
     kinds = texts + numbers
-    inputs = [_SUMS[s]().alias(s) for s in sums]
+    times = F.lit(1).cast("bigint") if sign is None else sign.cast("bigint")
+    inputs = [(_SUMS[s]() * times).alias(s) for s in sums]
     if not kinds:
         return facts.select(*keys, *inputs).groupBy(*keys).agg(
             *[F.sum(s).alias(s) for s in sums]
@@ -278,10 +284,10 @@ def _shrink(facts: DataFrame, keys: list[str], needs: list[str], sums: list[str]
 
     # The rows of the first kind also carry the sums, so they are added up once.
     carrier = F.col("kind") == kinds[0]
-    rows = facts.select(*keys, *inputs, F.inline(F.array(*[entry(k) for k in kinds])))
+    rows = facts.select(*keys, *inputs, times.alias("times"), F.inline(F.array(*[entry(k) for k in kinds])))
     rows = rows.where(carrier | F.col("text").isNotNull() | F.col("number").isNotNull())
     return rows.groupBy(*keys, "kind", "text", "number").agg(
-        F.count(F.lit(1)).alias("weight"),
+        F.sum("times").alias("weight"),
         *[F.sum(F.when(carrier, F.col(s))).alias(s) for s in sums],
     )
 
@@ -302,7 +308,7 @@ def _level_columns(names: list[str], tables: set[str]) -> list[Column]:
 
 def _prepare(
     facts: DataFrame, dims: Dimensions, measures: list[str], levels: list[str],
-    members: Members, scenario: list[str],
+    members: Members, scenario: list[str], sign: Column | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Steps 1 and 2: shrunken facts with a column per requested level."""
     for name in measures:
@@ -332,7 +338,7 @@ def _prepare(
             days = dims.calendar.where(F.col(name).isin(allowed)).select("service_date")
             facts = facts.join(days, "service_date", "left_semi")
 
-    small = _shrink(facts, keys, values, sums).alias("fact")
+    small = _shrink(facts, keys, values, sums, sign).alias("fact")
     for table in sorted(tables):
         key = _JOIN_KEY[table]
         other = dims.table(table).alias(table)
@@ -370,6 +376,63 @@ def cube_query(
     return rows.groupBy(*groups).agg(*_measure_columns(measures))
 
 
+def cube_scenarios(
+    facts: DataFrame,
+    dims: Dimensions,
+    overrides: DataFrame,
+    scenarios: Iterable[str],
+    on: list[str],
+    measures: Iterable[str],
+    levels: Iterable[str] = (),
+    members: Members | None = None,
+) -> DataFrame:
+    """``cube_query`` for the facts as they are (``base``) and for each scenario's changed delays.
+
+    ``overrides`` has (scenario, *on, delay_change).  The facts are aggregated once.  A scenario
+    is a difference: of each call it changes, the old value is taken away and the new one added.
+    Only the cells so touched are computed anew, from the base cell's frequencies and the
+    difference; all others are the base's.
+    """
+    measures, names, asked = list(measures), with_ancestors(levels), list(scenarios)
+    value = ["kind", "text", "number"]
+
+    def cells(rows: DataFrame, sums: list[str], *more: str) -> DataFrame:
+        return rows.groupBy(*more, *names, *value).agg(*[F.sum(c).alias(c) for c in ("weight", *sums)])
+
+    rows, sums = _prepare(facts, dims, measures, names, members or {}, [])
+    base = cells(rows, sums)
+    known = base.groupBy(*names).agg(*_measure_columns(measures))
+
+    changed = facts.join(overrides.where(F.col("scenario").isin(asked)), on)
+    versions = F.explode(F.array(F.lit(-1), F.lit(1))).alias("sign")
+    moved = changed.select("*", versions).withColumn(
+        "delay_seconds", F.when(F.col("sign") < 0, F.col("delay_seconds"))
+        .otherwise((F.col("delay_seconds") + F.col("delay_change")).cast("int")))
+    difference, _ = _prepare(
+        moved.drop("delay_change"), dims, measures, names, members or {}, ["scenario"], F.col("sign"))
+    difference = cells(difference, sums, "scenario")
+
+    touched = difference.select("scenario", *names).distinct()
+    level_names = [F.col(n) for n in names]
+    if names:
+        mine = [F.col(f"b.{n}").eqNullSafe(F.col(f"t.{n}")) for n in names]
+        under = base.alias("b").join(touched.alias("t"), mine).select("t.scenario", "b.*")
+    else:  # the grand total is one cell: its rows once for each scenario, of which there are a few
+        under = base.withColumn("scenario", F.explode(F.array(*[F.lit(s) for s in asked]).cast("array<string>"))).join(
+            touched, "scenario", "left_semi").select("scenario", *base.columns)
+    renewed = cells(under.unionByName(difference), sums, "scenario").groupBy("scenario", *names).agg(
+        *_measure_columns(measures))
+
+    def named(scenario: str) -> DataFrame:
+        return known.select(F.lit(scenario).alias("scenario"), *level_names, *measures)
+
+    same = [F.col(f"k.{n}").eqNullSafe(F.col(f"t.{n}")) for n in ("scenario", *names)]
+    result = named("base")
+    for scenario in asked:
+        result = result.unionByName(named(scenario).alias("k").join(touched.alias("t"), same, "left_anti"))
+    return result.unionByName(renewed.select("scenario", *level_names, *measures))
+
+
 def rollup_sets(hierarchies: Iterable[str]) -> list[list[str]]:
     """Grouping sets of the product of each hierarchy's totals and levels."""
     prefixes = []

@@ -67,6 +67,18 @@ class Cube:
     ) -> DataFrame:
         return cubes.cube_query(self.facts, self.dimensions, measures, levels, members, by)
 
+    def scenarios(
+        self,
+        overrides: DataFrame,
+        scenarios: Iterable[str],
+        on: list[str],
+        *measures: str,
+        levels: Iterable[str] = (),
+        members: cubes.Members | None = None,
+    ) -> DataFrame:
+        return cubes.cube_scenarios(
+            self.facts, self.dimensions, overrides, scenarios, on, measures, levels, members)
+
     def rollup(
         self,
         *measures: str,

@@ -859,12 +859,9 @@ def _scenario_delay(spark, sf_dir):
     overrides = agencies.select(
         F.lit("relief").alias("scenario"), "agency_id",
         F.lit("PM Peak").alias("service_period"), F.lit(-60).alias("delay_change"))
-    branched = rt.scenario_facts(
-        cube.facts, overrides, ["relief"], ["agency_id", "service_period"])
-    return Cube(branched, cube.dimensions).query(
-        "measured_stops", "p90_delay_seconds", levels=["borough"], by=["scenario"])
-
-
+    return cube.scenarios(
+        overrides, ["relief"], ["agency_id", "service_period"], "measured_stops", "p90_delay_seconds",
+        levels=["borough"])
 
 
 # --- streaming ------------------------------------------------------------

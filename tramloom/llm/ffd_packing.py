@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from operator import itemgetter
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tramloom.llm.common import binary_column, read_table
+from tramloom.llm.common import read_table
 
 CAPACITY = 2048
 END_ID = 1
@@ -35,10 +35,12 @@ SEED = 13
 #: Chunks of each of the two caches of a worker.
 _CACHED_CHUNKS = 400_000
 _WORDS_AT_ONCE = 2_000
-#: The first byte of a character from U+0280 on: combining marks, and scripts that may still grow.
-_ODD = 0xCA
-#: Marks between a letter and white space are one piece of their own.
-_END_MARKS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x9f-\xb6\xb8-\xbf]))[!-/:-@\[-`{-~]+(?!\S)")
+#: Characters that lower case, composition or Python's idea of white space may treat in another
+#: way than the tokenizer, and scripts that may still grow.
+_ODD = re.compile(r"[^\x00-\x1b\x20-\u012f\u0131-\u024f]")
+#: Marks between a letter and white space are one piece of their own.  The look behind comes after
+#: the first mark, so that the search runs from mark to mark.
+_END_MARKS = re.compile(r"[!-/:-@\[-`{-~](?<=[a-z\u00df-\u00f6\u00f8-\u00ff].)[!-/:-@\[-`{-~]*(?!\S)")
 
 
 def id_type(tokenizer: Tokenizer) -> str:
@@ -46,7 +48,7 @@ def id_type(tokenizer: Tokenizer) -> str:
 
 
 class SpacedTokenizer(dict):
-    """Ids of whole UTF-8 texts for a tokenizer that drops white space and never joins across it.
+    """Ids of whole texts for a tokenizer that drops white space and never joins across it.
 
     What stands between blanks has the same ids wherever it stands, so chunks are looked up and
     only new ones are encoded.  When the cache is full, it becomes the older one, from which
@@ -59,7 +61,7 @@ class SpacedTokenizer(dict):
         super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.kind = np.dtype(id_type(self.whole))
-        self.older: dict[bytes, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # For plain words, which the normalizer and the splitting pattern leave as they are.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
@@ -78,56 +80,52 @@ class SpacedTokenizer(dict):
         return cls._loaded[path]
 
     @staticmethod
-    def plain_word(chunk: bytes) -> str | None:
-        """The chunk in lower case if it is letters only, composed, of scripts long settled."""
-        if chunk.isalpha():  # bytes: ASCII letters
-            return chunk.lower().decode()
-        if not chunk or max(chunk) < 0x80 or max(chunk) >= _ODD:
-            return None
-        word = chunk.decode().lower()
-        return word if word.isalpha() and unicodedata.is_normalized("NFC", word) else None
-
-    def keep(self, chunk: bytes, ids: bytes) -> None:
+    def is_plain(word: str) -> bool:
+        """Letters only, in lower case and composed; of scripts whose letters are long settled."""
+        if word.isascii():
+            return word.isalpha() and word.islower()
+        return (word.isalpha() and not _ODD.search(word) and word == word.lower()
+                and unicodedata.is_normalized("NFC", word))
+
+    def keep(self, chunk: str, ids: bytes) -> None:
         if len(chunk) <= 64:
             if len(self) >= _CACHED_CHUNKS:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = ids
 
-    def __missing__(self, chunk: bytes) -> bytes:
+    def __missing__(self, chunk: str) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            ids = self.whole.encode(chunk.decode(), add_special_tokens=False).ids
-            found = np.array(ids, self.kind).tobytes()
+            found = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
         self.keep(chunk, found)
         return found
 
-    def learn(self, chunks: Iterable[bytes]) -> None:
+    def learn(self, chunks: Iterable[str]) -> None:
         """Encode the new plain words among ``chunks`` many at a time: each ends in one word-end token."""
-        new = [(c, w) for c in chunks if c not in self and c not in self.older and len(c) <= 64
-               and (w := self.plain_word(c)) is not None]
-        for at in range(0, len(new), _WORDS_AT_ONCE):
-            own, words = zip(*new[at:at + _WORDS_AT_ONCE], strict=True)
-            ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        words = [c for c in chunks if c not in self and c not in self.older and len(c) <= 64 and self.is_plain(c)]
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            own = words[at:at + _WORDS_AT_ONCE]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, self.kind)
             ends = (np.nonzero(self.ends_word[ids])[0] + 1) * self.kind.itemsize
             if len(ends) == len(own):  # otherwise the tokenizer has no such tokens: one by one
                 whole = ids.tobytes()
-                for chunk, start, end in zip(own, [0, *ends.tolist()], ends.tolist(), strict=False):
-                    self.keep(chunk, whole[start:end])
+                for word, start, end in zip(own, [0, *ends.tolist()], ends.tolist(), strict=False):
+                    self.keep(word, whole[start:end])
 
     @staticmethod
-    def chunks(text: bytes) -> list[bytes]:
-        """What stands between ASCII blanks; where that is safe, in lower case and without end marks."""
-        if not text.isascii() and np.frombuffer(text, np.uint8).max() >= _ODD or b"<|" in text:
-            return text.split()
-        return _END_MARKS.sub(rb" \g<0>", text.lower()).split()
+    def chunks(text: str) -> list[str]:
+        """What stands between blanks; where that is safe, in lower case and without a word's end marks."""
+        if "<|" in text or _ODD.search(text):
+            return text.replace("\n", " ").split(" ")
+        return _END_MARKS.sub(r" \g<0>", text.lower()).split()
 
-    def id_bytes(self, texts: Iterable[bytes]) -> list[bytes]:
+    def id_bytes(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``kind``."""
         cut = [self.chunks(text) for text in texts]
         self.learn(set().union(*cut))
         # An itemgetter of one key gives no tuple, so each list is looked up with one empty chunk more.
-        return [b"".join(itemgetter(b"", *own)(self)) for own in cut]
+        return [b"".join(itemgetter("", *own)(self)) for own in cut]
 
 
 # ------------------------------------------------------------------ placing
@@ -230,7 +228,7 @@ def _encoded(tokenizer_file: str, end_id: int, groups: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = tokenizer.id_bytes(text or b"" for text in binary_column(part, "text"))
+                ids = tokenizer.id_bytes([text or "" for text in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([i + end for i in ids], pa.binary()),
                      pa.array(part.column(2).to_numpy() % groups)], schema=schema)

@@ -26,12 +26,18 @@ from tramloom.operators import realtime as rt
 #: Silence after which a key's last row is dropped; keys hold a service date, so none returns.
 FORGET_SECONDS = 2 * 86_400
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+#: Keyed state with timers needs the RocksDB store; a batch then writes its changes, not the store.
+STORE_SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def use_keyed_state(spark: SparkSession) -> None:
-    """Keyed state with timers needs the RocksDB state store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    """Set the session's state store, which a stream takes over when it starts."""
+    for key, value in STORE_SETTINGS.items():
+        spark.conf.set(key, value)
 
 
 class _InOrder(StatefulProcessor):

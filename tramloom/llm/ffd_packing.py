@@ -16,7 +16,6 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
-from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -34,7 +33,7 @@ GROUP_BYTES = 8 << 20
 SEED = 13
 #: Chunks of each of the two caches of a worker.
 _CACHED_CHUNKS = 400_000
-_WORDS_AT_ONCE = 2_000
+_WORDS_AT_ONCE = 300
 #: Characters that lower case, composition or Python's idea of white space may treat in another
 #: way than the tokenizer, and scripts that may still grow.
 _ODD = re.compile(r"[^\x00-\x1b\x20-\u012f\u0131-\u024f]")
@@ -102,8 +101,8 @@ class SpacedTokenizer(dict):
         return found
 
     def learn(self, chunks: Iterable[str]) -> None:
-        """Encode the new plain words among ``chunks`` many at a time: each ends in one word-end token."""
-        words = [c for c in chunks if c not in self and c not in self.older and len(c) <= 64 and self.is_plain(c)]
+        """Encode the plain words among new chunks many at a time: each ends in one word-end token."""
+        words = [c for c in chunks if c not in self.older and len(c) <= 64 and self.is_plain(c)]
         for at in range(0, len(words), _WORDS_AT_ONCE):
             own = words[at:at + _WORDS_AT_ONCE]
             ids = np.array(self.plain.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, self.kind)
@@ -123,9 +122,16 @@ class SpacedTokenizer(dict):
     def id_bytes(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``kind``."""
         cut = [self.chunks(text) for text in texts]
-        self.learn(set().union(*cut))
-        # An itemgetter of one key gives no tuple, so each list is looked up with one empty chunk more.
-        return [b"".join(itemgetter("", *own)(self)) for own in cut]
+        found = [list(map(self.get, own)) for own in cut]
+        new: set[str] = set()
+        for own, ids in zip(cut, found, strict=True):
+            if None in ids:
+                new.update([chunk for chunk, known in zip(own, ids, strict=True) if known is None])
+        self.learn(new)
+        for own, ids in zip(cut, found, strict=True):
+            if None in ids:
+                ids[:] = [self[chunk] if known is None else known for chunk, known in zip(own, ids, strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 # ------------------------------------------------------------------ placing

@@ -43,6 +43,18 @@ def test_a_window_without_measured_delays_has_no_percentiles(spark):
     assert (found.events, found.measured_events, found.p50_delay, found.mean_delay) == (2, 0, None, None)
 
 
+@pytest.mark.parametrize("size", ["5m", "1h", "24h"])
+def test_windows_without_percentiles_have_the_same_sums(spark, size):
+    rng = np.random.default_rng(2)
+    rows = [(f"r{i % 3}", int(t), None if i % 7 == 0 else int(d), "SKIPPED" if i % 5 == 0 else "SCHEDULED")
+            for i, (t, d) in enumerate(zip(rng.integers(0, 90_000, 300), rng.integers(-400, 900, 300), strict=True))]
+    frame = events(spark, rows)
+    whole = rt.rolling(frame, "route_key", size).drop(*rt.PERCENTILES)
+    plain = rt.rolling(frame, "route_key", size, percentiles=False)
+    assert plain.columns == whole.columns
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+
+
 def test_changes_inside_a_second_are_kept(spark):
     times = [0.1, 0.5, 0.5, 1.2, 1.2, 1.3]
     states = [1, 2, 2, 1, 1, 1]

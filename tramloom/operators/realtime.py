@@ -166,8 +166,9 @@ def rolling(
     size: str = "1h",
     time: str = "actual_arrival",
     threshold: int = delays.ON_TIME_SECONDS,
+    percentiles: bool = True,
 ) -> DataFrame:
-    """Rolling delay statistics per key, with exact discrete percentiles.
+    """Rolling delay statistics per key, with exact discrete percentiles if they are asked for.
 
     Events are counted once, per pane as long as the slide and per whole second of
     delay.  Only these counts fan out to the windows that contain a pane, so a 24-hour
@@ -183,6 +184,8 @@ def rolling(
     delay = F.when(F.col("measured"), F.col("delay_seconds")).cast("bigint").alias("delay")
     counts = usable(events.where(F.col(time).isNotNull())).groupBy(*keys_, pane, delay).agg(
         F.count(F.lit(1)).alias("n"))
+    if not percentiles:
+        return _plain_rolling(counts, keys_, length, slide, threshold)
     if length > slide:
         starts = F.sequence(F.col("start") - (length - slide), F.col("start"), F.lit(slide))
         counts = counts.withColumn("start", F.explode(starts)).groupBy(*keys_, "start", "delay").agg(
@@ -208,6 +211,25 @@ def rolling(
     return finished.select(*window_columns(keys_))
 
 
+def _plain_rolling(counts: DataFrame, keys_: list[str], length: int, slide: int, threshold: int) -> DataFrame:
+    """Rolling statistics without percentiles: a pane's sums fan out, not its counts by delay."""
+    known = F.when(F.col("delay").isNotNull(), F.col("n")).otherwise(0)
+    parts = {
+        "events": F.col("n"), "measured_events": known, "delay_total": F.col("delay") * F.col("n"),
+        "on_time_events": F.when(delays.on_time(F.col("delay"), threshold), known).otherwise(0)}
+    panes = counts.groupBy(*keys_, "start").agg(*[F.sum(part).alias(name) for name, part in parts.items()])
+    if length > slide:
+        starts = F.sequence(F.col("start") - (length - slide), F.col("start"), F.lit(slide))
+        panes = panes.withColumn("start", F.explode(starts)).groupBy(*keys_, "start").agg(
+            *[F.sum(name).alias(name) for name in parts])
+    finished = panes.withColumns({
+        "window_start": F.timestamp_seconds("start"),
+        "window_end": F.timestamp_seconds(F.col("start") + length),
+        **{name: F.lit(None).cast("bigint") for name in PERCENTILES},
+    })
+    return finished.select(*window_columns(keys_)).drop(*PERCENTILES)
+
+
 def current_stats(windows: DataFrame, key: str) -> DataFrame:
     """The newest window of every key."""
     rest = [c for c in windows.columns if c not in (key, "window_start")]

@@ -809,7 +809,7 @@ def _baseline(spark, sf_dir):
     where x.n >= 5 and mean - baseline > 60""")
 def _anomalies(spark, sf_dir):
     events = fx.observed(spark, sf_dir)
-    windows = rt.rolling(events, "route_key", "24h")
+    windows = rt.rolling(events, "route_key", "24h", percentiles=False)
     return rt.anomalies(windows, rt.delay_baseline(events), threshold=60, observations=5)
 
 

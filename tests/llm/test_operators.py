@@ -241,27 +241,48 @@ def test_line_classes_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SEGMENT_ROWS", 4)  # deal common segments out
     rng = random.Random(7)
     lines = [prose(i, 9)[:n].strip().ljust(n, "k") for i, n in enumerate([60, 42, 41, 39, 30, 22, 20, 19, 12, 6] * 3)]
-    lines += [mutate(rng, rng.choice(lines[:20]), rng.randint(0, 3), "abk") for _ in range(90)]
-    docs = [(i, "\n".join(rng.choice([x, x, "short", f"  {x}\t"]) for x in rng.sample(lines, 8))) for i in range(25)]
+    lines += ["ab" * 21, "aab" * 14, "a" * 41, "ba" * 12, "abb" * 8, "é" * 20]  # segments in many places
+    lines += [mutate(rng, rng.choice(lines), rng.randint(0, 3), "abk") for _ in range(110)]
+    docs = [(i, "\n".join(rng.choice([x, x, "short", f"  {x}\t"]) for x in rng.sample(lines, 8))) for i in range(30)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    found = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"], r["kept"])
+    found = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"], r["kept"], r["n_links"])
              for r in line_dedup.line_classes(frame).collect()}
     places = sorted((i, k, x.strip(" \t\r")) for i, t in docs for k, x in enumerate(t.split("\n"))
                     if len(x.strip(" \t\r")) >= line_dedup.LEAST_CHARS)
     pairs = [(i, j) for i, j in combinations(range(len(places)), 2)
              if plain_distance(places[i][2], places[j][2]) <= min(2, min(len(places[i][2]), len(places[j][2])) // 20)]
     root = united(len(places), pairs)
-    assert found == {places[i][:2]: (*places[root[i]][:2], root[i] == i) for i in range(len(places))}
+    links = [0] * len(places)
+    for i, j in pairs:
+        links[i] += 1
+        links[j] += 1
+    assert found == {places[i][:2]: (*places[root[i]][:2], root[i] == i, links[i]) for i in range(len(places))}
+    assert any(n >= 3 for n in links) and any(n == 0 for n in links)
     assert line_dedup.line_classes(no_docs(spark)).collect() == []
 
 
 def test_short_lines_have_rows_and_equal_ones_a_class(spark):
     docs = [(1, "Same short line.\n\n  yes"), (2, "x\nyes\nSame short line!"), (3, "Same short line."),
             (4, "A line of thirty-odd letters now"), (5, "A line of thirty-odd lettersnow")]
-    found = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"])
+    found = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"], r["n_links"])
              for r in line_dedup.line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert found == {(1, 0): (1, 0), (1, 2): (1, 2), (2, 0): (2, 0), (2, 1): (1, 2), (2, 2): (2, 2), (3, 0): (1, 0),
-                     (4, 0): (4, 0), (5, 0): (4, 0)}
+    assert found == {(1, 0): (1, 0, 1), (1, 2): (1, 2, 1), (2, 0): (2, 0, 0), (2, 1): (1, 2, 1), (2, 2): (2, 2, 0),
+                     (3, 0): (1, 0, 1), (4, 0): (4, 0, 1), (5, 0): (4, 0, 1)}
+
+
+def test_pairs_meet_first_in_one_segment():
+    rng = random.Random(9)
+    for _ in range(3000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randint(40, 46)))
+        b = mutate(rng, a, rng.randint(0, 2), "ab")
+        short, long = sorted((a, b), key=len)
+        if len(short) >= 40:
+            i, text = line_dedup.first_meeting(short, long, 2)
+            either = [line[s:s + n] for line in (short, long) for s, n in [line_dedup.segments(len(line), 3)[i]]]
+            assert text in either and text in short and text in long
+            if len(a) == len(b):
+                assert line_dedup.first_meeting(long, short, 2) == (i, text)
+    assert line_dedup.first_meeting("a" * 40, "b" * 40, 2) is None
 
 
 # ------------------------------------------------------------------ 5 simhash

@@ -9,13 +9,15 @@ bit-parallel edit distance; linked lines form classes.
 
 Copies of a line are one node from the start.  Lookups that find no second line end in the
 shuffle by segment; only lines that met another are fetched as text.  A segment that very
-many lines share is dealt out as pairs of parts, and a task hands on what connects its
-lines, not every pair.
+many lines share is dealt out as pairs of parts.  Every pair that meets is verified, and counted
+under the first segment that it shares; a task hands on what connects its lines and each line's
+number of links, not every pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -149,6 +151,37 @@ def scaled_lookups(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return found
 
 
+@lru_cache(1 << 16)
+def windows_of(length: int, other: int, edits: int) -> tuple[tuple[int, int, int, int], ...]:
+    """``lookups_of`` by segment: (start in the shorter line, size, first and last place in the longer one)."""
+    found = lookups_of(length, other, edits)
+    places = [[at for i, _, at, _ in found if i == own] for own in range(edits + 1)]
+    return tuple((start, size, at[0] if at else 0, at[-1] if at else -1)
+                 for (start, size), at in zip(segments(other, edits + 1), places, strict=True))
+
+
+def first_meeting(short: str, long: str, edits: int) -> tuple[int, str] | None:
+    """Number and text of the first segment by which two lines meet; ``short`` is not the longer one.
+
+    Equally long lines are both indexed, so either one's segment may be found in the other.
+    """
+    equal = len(short) == len(long)
+    for i, (start, size, low, high) in enumerate(windows_of(len(long), len(short), allowed(len(short), edits))):
+        own, other = short[start:start + size], long[start:start + size]
+        met = [own] if any(long.startswith(own, at) for at in range(low, high + 1)) else []
+        if equal and own != other and any(short.startswith(other, at) for at in range(low, high + 1)):
+            met.append(other)
+        if met:
+            return i, min(met)
+    return None
+
+
+def segment_key(length: int, i: int, segment: str) -> int:
+    """Signed 64-bit key of segment ``i`` of a line of ``length`` characters."""
+    key = xxhash.xxh64_intdigest(f"{length}:{i}:{segment}".encode("utf-8", "surrogatepass"))
+    return key - (1 << 64) if key >> 63 else key
+
+
 def _segment_rows(edits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -166,9 +199,7 @@ def _segment_rows(edits: int):
                     plans[n] = scaled_lookups(n, edits)
                 own = segments(n, allowed(n, edits) + 1)
                 for i, other, at, size in plans[n]:
-                    key = xxhash.xxh64_intdigest(
-                        f"{other}:{i}:{line[at:at + size]}".encode("utf-8", "surrogatepass"))
-                    keys.append(key - (1 << 64) if key >> 63 else key)
+                    keys.append(segment_key(other, i, line[at:at + size]))
                     owners.append(h)
                     indexed.append(other == n and at == own[i][0])
             yield pa.RecordBatch.from_arrays(
@@ -178,15 +209,23 @@ def _segment_rows(edits: int):
     return run
 
 
+_FOUND = "a long, b long, partners long, copies long"
+
+
 def _linked(edits: int):
+    """Links (a, b) that connect the lines of each group, and for each linked line ``a`` how many
+    ``partners`` (lines, copies included) it was counted with, beside its own ``copies``."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["key", "part_a", "part_b"]
         for table in whole_groups(batches, keys):
-            left, right = [], []
-            rows = zip(*[table.column(c).to_pylist() for c in [*keys, "h", "indexed", "line"]], strict=True)
-            for _, group in groupby(rows, key=lambda r: r[:3]):
+            rows = zip(*[table.column(c).to_pylist() for c in [*keys, "part", "h", "indexed", "line", "copies"]],
+                       strict=True)
+            links, counts = [], []
+            for (key, part_a, part_b), group in groupby(rows, key=lambda r: r[:3]):
                 lines = [r[3:] for r in group]
                 root = list(range(len(lines)))
+                partners = [0] * len(lines)
 
                 def find(i: int) -> int:
                     while root[i] != i:
@@ -194,15 +233,30 @@ def _linked(edits: int):
                         i = root[i]
                     return i
 
-                starts = [i for i, line in enumerate(lines) if line[1]]
-                for j, (h, _, text) in enumerate(lines):
-                    for i in starts:
+                for i, (part, h, indexed, line, copies) in enumerate(lines):
+                    if not indexed:
+                        continue
+                    most = allowed(len(line), edits)
+                    own = next(((k, line[s:s + n]) for k, (s, n) in enumerate(segments(len(line), most + 1))
+                                if segment_key(len(line), k, line[s:s + n]) == key), None)
+                    for j, (other_part, other_h, other_indexed, other, other_copies) in enumerate(lines):
+                        # Two indexed lines are looked at once; lines of one part meet where it is alone.
+                        if (j <= i and other_indexed) or (part_a != part_b and part == other_part):
+                            continue
+                        if not 0 <= len(other) - len(line) <= most or not within(line, other, most):
+                            continue
+                        if first_meeting(line, other, edits) != own:
+                            continue
+                        partners[i] += other_copies
+                        partners[j] += copies
                         a, b = find(i), find(j)
-                        if a != b and within(lines[i][2], text, allowed(min(len(lines[i][2]), len(text)), edits)):
+                        if a != b:
                             root[b] = a
-                            left.append(lines[i][0])
-                            right.append(h)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+                            links.append((h, other_h, None, None))
+                counts += [(r[1], None, n, r[4]) for r, n in zip(lines, partners, strict=True) if n]
+            columns = list(zip(*links, *counts, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns or [()] * 4], ["a", "b", "partners", "copies"])
 
     return run
 
@@ -221,8 +275,10 @@ def lines_of(docs: DataFrame, least_chars: int) -> DataFrame:
     return line.select("doc_id", "text_hash", "line_no", F.xxhash64("line").alias("h"), "line")
 
 
-def line_links(lines: DataFrame, scratch: Scratch, edits: int = EDITS) -> DataFrame:
-    """Links (a, b) of hashes that connect all ``lines`` (h, line) within the edits their length allows."""
+def line_links(lines: DataFrame, scratch: Scratch, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of hashes that connect all ``lines`` (h, line) within the edits their length
+    allows, and for each line h that has a link to a different one its number of links n_links:
+    all other lines, copies of itself and of others included, that it is linked to directly."""
     looked_up = lines.select("h", "line").mapInArrow(
         _segment_rows(edits), "key long, h long, indexed boolean").repartition("key")
     met = Window.partitionBy("key")
@@ -234,32 +290,40 @@ def line_links(lines: DataFrame, scratch: Scratch, edits: int = EDITS) -> DataFr
     found = scratch.save(several, "met")
     wanted = found.select("h").distinct()
     texts = scratch.save(
-        lines.select("h", "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), "texts")
+        lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(
+            F.first("line").alias("line"), F.count(F.lit(1)).alias("copies")), "texts")
     dealt = split_hot(found, ["key"], "h", SEGMENT_ROWS).join(texts, "h")
     keys = ["key", "part_a", "part_b"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_linked(edits), "a long, b long")
+    near = scratch.save(
+        dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_linked(edits), _FOUND), "near")
+    counts = near.where("b is null").groupBy(F.col("a").alias("h")).agg(
+        (F.sum("partners") + F.max("copies") - 1).alias("n_links"))
+    return near.where("b is not null").select("a", "b"), counts
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """One row per compared line: doc_id, text_hash, line_no, class_doc_id, class_line_no, kept.
+    """One row per compared line: doc_id, text_hash, line_no, n_links, class_doc_id, class_line_no, kept.
 
     A class is what links of at most ``edits`` edits, fewer between short lines, connect; equal
-    lines of any length are in one.  Blank lines have no row.  A class's first line, by doc_id (null
+    lines of any length are in one.  n_links counts the other lines that a line is linked to
+    directly, equal ones included.  Blank lines have no row.  A class's first line, by doc_id (null
     last) and line number, is kept.  Repeated rows of a document have equal lines at equal
     places; they are treated alike.  Lines are numbered from 0.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     lines = lines_of(docs, least_chars)
-    found = components(line_links(lines, scratch, edits), scratch)
-    placed = lines.select("doc_id", "text_hash", "line_no", "h").join(
-        found.withColumnRenamed("node", "h"), "h", "left").select(
-        "doc_id", "text_hash", "line_no", F.coalesce("component", "h").alias("class"))
+    links, counts = line_links(lines, scratch, edits)
+    found = components(links, scratch).withColumnRenamed("node", "h").join(counts, "h")
+    placed = lines.select("doc_id", "text_hash", "line_no", "h").join(found, "h", "left").select(
+        "doc_id", "text_hash", "line_no", F.coalesce("component", "h").alias("class"), "n_links")
     placed = scratch.save(placed, "placed")
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "line_no")
     # Written, so that both sides of the join are plain exchanges and a hot class can be split.
-    first = scratch.save(placed.groupBy("class").agg(F.min(order).alias("first")), "first")
+    first = scratch.save(placed.groupBy("class").agg(
+        F.min(order).alias("first"), F.count(F.lit(1)).alias("size")), "first")
     return placed.join(first, "class").select(
-        "doc_id", "text_hash", "line_no", F.col("first.doc_id").alias("class_doc_id"),
+        "doc_id", "text_hash", "line_no", F.coalesce("n_links", F.col("size") - 1).alias("n_links"),
+        F.col("first.doc_id").alias("class_doc_id"),
         F.col("first.line_no").alias("class_line_no"),
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no")))
         .alias("kept"))
@@ -289,5 +353,5 @@ def without_duplicate_lines(docs: DataFrame, edits: int = EDITS, least_chars: in
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of every line that is not blank."""
+    """Class and number of links of every line that is not blank."""
     return line_classes(read_table(spark, sf_dir, "documents")).drop("text_hash")

@@ -72,6 +72,58 @@ def test_toxicity_learns_from_rows_that_are_not_held_out(spark):
     assert np.mean([a > b for a in bad for b in good]) > 0.8
 
 
+@pytest.mark.parametrize("vocabulary", [40, 2000])
+def test_toxicity_learns_words_that_matter_only_together(vocabulary):
+    rng = np.random.default_rng(0)
+    texts, labels = [], []
+    for _ in range(1200):
+        words = [f"w{k}" for k in rng.integers(0, vocabulary, 12)]
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(" ".join(words + ["insult"] * a + ["group"] * b).encode())
+        labels.append(float(a != b))
+    model = toxicity.fit([toxicity.text_buckets(t) for t in texts[:900]], np.array(labels[:900]))
+    scores = [model.score(t) for t in texts[900:]]
+    bad = [s for s, t in zip(scores, labels[900:]) if t]
+    good = [s for s, t in zip(scores, labels[900:]) if not t]
+    assert np.mean([a > b for a in bad for b in good]) > 0.95
+
+
+def test_toxicity_score_is_that_of_all_pairs():
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(30, 6, replace=False)).astype(np.int32) for _ in range(200)]
+    rows[5] = np.empty(0, np.int32)
+    model = toxicity.fit(rows, np.array([float(3 in r and 7 in r) for r in rows]))
+    text = b"One two, three four five six seven"
+    at = toxicity.text_buckets(text)
+    model.weights[at] = rng.normal(size=len(at))
+    model.vectors[at] = rng.normal(size=(len(at), toxicity.FACTORS))
+    model.active[at] = True
+    z = model.bias + sum(model.weights[i] for i in at)
+    z += sum(float(model.vectors[i].astype(float) @ model.vectors[j]) for i, j in combinations(at, 2))
+    assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-5
+
+
+def test_toxicity_bears_corner_rows(spark, tmp_path):
+    corner_docs(spark, clashing=True).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (1, 1, 1), (3, None, None), (8, 0, 0), (None, 1, 1)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = toxicity.op1_toxicity(spark, str(tmp_path)).collect()
+    assert len(found) == corner_docs(spark).count()
+    assert all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in found)
+    assert len({r["score"] for r in found if r["doc_id"] in (4, 5, None)}) == 1  # no terms: the bias
+    assert len({r["score"] for r in found if r["doc_id"] == 8}) == 1  # repeated rows
+
+
+def test_toxicity_takes_one_row_an_id(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels, **_: sizes.append((len(rows), sorted(labels))))
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(90)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    kept = [i for i in range(3) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sizes == [(len(kept), sorted([1.0, 1.0, 0.0][i] for i in kept))]
+
+
 def test_toxicity_pairs_weigh_more_than_their_terms():
     rng = np.random.default_rng(0)
     texts, labels = [], []

@@ -32,6 +32,8 @@ TRAIN_ROWS = 12_000
 LEAST_ROWS = 3
 #: Standard errors that a term's log odds may differ from none by chance.
 NOISE = 2.5
+#: Value of a term that does not stand out by itself; it may still matter beside another one.
+LEAST_VALUE = 0.3
 EPOCHS = 14
 THRESHOLD = 0.3
 SEED = 11
@@ -64,8 +66,8 @@ class Model:
     """bias, one weight and one factor vector per bucket; zero where too few rows had it.
 
     A term's value, by which its parameters are multiplied beforehand, is how far its log odds
-    between the labels stand out from chance; most terms do not and have no part in the model.
-    Else thousands of rare words would explain the few labels by heart."""
+    between the labels stand out from chance, and ``LEAST_VALUE`` if they do not: such terms learn
+    slowly, or thousands of rare words would explain the few labels by heart."""
 
     def __init__(self, bias: float, weights: np.ndarray, vectors: np.ndarray):
         self.bias, self.weights, self.vectors = bias, weights, vectors
@@ -101,8 +103,9 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def standing_out(rows: Sequence[np.ndarray], labels: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """For each bucket its value: standard errors of its log odds beyond ``NOISE``, scaled."""
+def values_of(rows: Sequence[np.ndarray], labels: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """For each bucket its value: standard errors of its log odds beyond ``NOISE``, scaled, and no
+    less than ``LEAST_VALUE``; 0 if fewer than ``LEAST_ROWS`` rows have it."""
     toxic = np.zeros(BUCKETS)
     for row, label in zip(rows, labels, strict=True):
         if label:
@@ -111,13 +114,17 @@ def standing_out(rows: Sequence[np.ndarray], labels: np.ndarray, seen: np.ndarra
     base = np.log((labels.sum() + 1) / (len(rows) - labels.sum() + 1))
     odds = np.log((toxic + 1) / (clean + 1)) - base
     errors = np.abs(odds) / np.sqrt(1 / (toxic + 1) + 1 / (clean + 1))
-    return np.where(seen >= LEAST_ROWS, np.maximum(errors - NOISE, 0) / NOISE, 0.0)
+    return np.where(seen >= LEAST_ROWS, np.maximum((errors - NOISE) / NOISE, LEAST_VALUE), 0.0)
 
 
 def fit(rows: Sequence[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS,
         rate: float = 0.15, decay: float = 1.0, seed: int = SEED) -> Model:
     """Logistic loss, AdaGrad over small batches, ``decay`` over the number of rows as L2 weight;
-    the same rows give the same model."""
+    the same rows give the same model.
+
+    Terms that stand out by themselves learn first, for ``epochs`` rounds.  Then all learn together,
+    so that the others, alone or in pairs, explain what those left open and not the labels by heart.
+    """
     weights = np.zeros(BUCKETS, np.float32)
     vectors = np.zeros((BUCKETS, factors), np.float32)
     if not len(rows):
@@ -125,12 +132,13 @@ def fit(rows: Sequence[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
     seen = np.zeros(BUCKETS, np.int64)
     for row in rows:
         seen[row] += 1
-    value_of = standing_out(rows, labels, seen)
+    value_of = values_of(rows, labels, seen)
     buckets = np.nonzero(value_of)[0]
     place = np.full(BUCKETS, -1, np.int64)
     place[buckets] = np.arange(len(buckets))
-    compact = [p[p >= 0] for p in (place[row] for row in rows)]
     values = value_of[buckets]
+    every = [p[p >= 0] for p in (place[row] for row in rows)]
+    first = [p[values[p] > LEAST_VALUE] for p in every]
     decay /= len(rows)
     rng = np.random.default_rng(seed)
     w = np.zeros(len(buckets))
@@ -138,7 +146,8 @@ def fit(rows: Sequence[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
     share = np.clip(labels.mean(), 0.01, 0.99)
     bias = float(np.log(share / (1 - share)))
     seen_w, seen_v, seen_b = np.full(w.shape, 1e-2), np.full(v.shape, 1e-2), 1e-2
-    for _ in range(epochs):
+    number = np.zeros(len(buckets), np.int64)
+    for compact in [first] * epochs + [every] * epochs:
         order = rng.permutation(len(rows))
         for start in range(0, len(order), 128):
             batch = order[start:start + 128]
@@ -148,15 +157,19 @@ def fit(rows: Sequence[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
             value = values[at]
             inside = v[at] * value[:, None]
             total = np.zeros((len(batch), factors))
-            np.add.at(total, owner, inside)
+            if len(at):
+                total[counts > 0] = np.add.reduceat(inside, (np.cumsum(counts) - counts)[counts > 0])
             z = bias + np.bincount(owner, w[at] * value, len(batch))
             z += 0.5 * ((total * total).sum(1) - np.bincount(owner, (inside * inside).sum(1), len(batch)))
             gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[batch]) / len(batch)
-            touched, index = np.unique(at, return_inverse=True)
+            number[at] = -1
+            touched = np.flatnonzero(number)
+            number[touched] = np.arange(len(touched))
+            index = number[at]
+            number[touched] = 0
             grad_w = np.bincount(index, gap[owner] * value, len(touched)) + decay * w[touched]
-            grad_v = np.zeros((len(touched), factors))
-            np.add.at(grad_v, index, (gap[owner] * value)[:, None] * (total[owner] - inside))
-            grad_v += decay * v[touched]
+            pull = (gap[owner] * value)[:, None] * (total[owner] - inside)
+            grad_v = np.stack([np.bincount(index, p, len(touched)) for p in pull.T], axis=1) + decay * v[touched]
             seen_w[touched] += (len(batch) * grad_w) ** 2 / len(batch)
             seen_v[touched] += (len(batch) * grad_v) ** 2 / len(batch)
             w[touched] -= rate * np.sqrt(len(batch)) * grad_w / np.sqrt(seen_w[touched])
@@ -176,13 +189,15 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, **settings) -> Model:
     """Fit on the labelled rows of ``docs`` that are not held out, at most ``train_rows``.
 
-    Null labels are left out; if an id has several labels, the greatest counts.
+    Null labels are left out; if an id has several labels, the greatest counts, and of several
+    texts of an id the first in order.
     """
     known = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     present = known.where("_toxic is not null").join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = present.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(train_rows)
-    # At most train_rows pairs of numbers, so the broadcast is bounded.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # At most train_rows pairs of numbers, so the broadcast is bounded; one row an id reaches the driver.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("_toxic").alias("_toxic"))
 
     @F.arrow_udf("array<int>")
     def terms(text: pa.Array) -> pa.Array:
@@ -210,7 +225,10 @@ def score_column(spark: SparkSession, model: Model):
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score and prediction of every document.  Without labels all get the score of the bias."""
+    """Score and prediction of every document.  Without labels all get the score of the bias.
+
+    Null and empty texts have the score of the bias; repeated rows are scored each.
+    """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     score = score_column(spark, train(docs, read_table(spark, sf_dir, "labels")))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import duckdb
@@ -250,6 +251,53 @@ def test_perplexity_keeps_trusted_text_and_drops_junk(spark):
     assert perplexity.score(no_docs(spark), labels).collect() == []
 
 
+def test_perplexity_is_that_of_a_plain_model_of_words(spark):
+    texts = [prose(i, 30) + " the same end" for i in range(25)] + ["\u0430\u0431 \u0432"] * 3
+    # The characters of the last two fall in the classes of a trusted text, its words do not.
+    others = [prose(3, 30), prose(99, 20), "A", " \n", "\u0430\u0431 \u0432", "\u0438\u0439 \u043a"]
+    rows = [(i, t, "en") for i, t in enumerate(texts + others)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["perplexity"] for r in perplexity.score(docs, labels).collect()}
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    table = perplexity.probabilities(perplexity.counted(frame), Scratch(spark, "t"))
+
+    def pairs_of(text):
+        own = ["", *text.lower().split(), ""]
+        return list(zip(own, own[1:], strict=False))
+
+    def cut(counts):
+        k = [sum(n == i for n in counts.values()) for i in (1, 2, 3, 4)]
+        y = k[0] / (k[0] + 2 * k[1])
+        d = [min(max(i - (i + 1) * y * k[i] / k[i - 1] if k[i - 1] else 0.9, 0.05), i - 0.05) for i in (1, 2, 3)]
+        return {x: d[min(n, 3) - 1] for x, n in counts.items()}
+
+    pairs = Counter(x for t in texts for x in pairs_of(t))
+    times, ends = Counter(a for t in texts for a, _ in pairs_of(t)), Counter(b for _, b in pairs)
+    kept, low = cut(pairs), cut(ends)
+    back = Counter()
+    for (a, _), d in kept.items():
+        back[a] += d / times[a]
+    total = sum(ends.values())
+    unseen = sum(low.values()) / total
+
+    def probability(a, b, own, alone):
+        spell = np.exp(perplexity.spelled([b.encode()], table)[0] / perplexity.UNIT)
+        p = unseen * spell + ((ends[b] - low[b]) / total if times[b] > alone[b] else 0)
+        p *= back[a] if times[a] > alone[a] else 1
+        return p + ((pairs[a, b] - kept[a, b]) / times[a] if pairs[a, b] > own[a, b] else 0)
+
+    for i, text, _ in rows:
+        own = Counter(pairs_of(text) if i < len(texts) else [])
+        alone = Counter(a for a, _ in own.elements())
+        if not text.split():
+            assert found[i] is None
+            continue
+        log = sum(np.log(probability(a, b, own, alone)) for a, b in pairs_of(text))
+        assert np.isclose(found[i], np.exp(-log / len(text)), rtol=1e-4), text
+    assert found[len(rows) - 1] > 1.5 * found[len(rows) - 2]
+
+
 # ------------------------------------------------------------------ 4 lines
 
 def plain_distance(a, b):

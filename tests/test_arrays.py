@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 import small_feed
 from pyspark.sql import functions as F
 
 from tramloom.functions import keys
+from tramloom.operators import cube as cubes
 from tramloom.operators import realtime as rt
 from tramloom.operators import schedule
 from tramloom.operators.calendar import expand_calendar
@@ -87,3 +89,25 @@ def test_ids_of_few_rows_are_the_same_ids(spark):
     own = frame.select(keys.plain_id_prefix(F.col("a"), F.col("d"), F.col("t")).alias("one"),
                        keys.id_prefix(F.col("a"), F.col("d"), F.col("t")).alias("other"))
     assert all(r.one == r.other for r in own.collect())
+
+
+@pytest.mark.parametrize("members", [None, {"service_period": ["AM Peak", "Unknown"]}])
+def test_versions_of_a_fact_are_put_together_once_an_override(spark, monkeypatch, members):
+    rows = [(f"R{i % 3}", (None, "AM Peak", "PM Peak")[i % 4 % 3], 60 * (i % 5) if i % 7 else None, "SCHEDULED" if i % 6 else None,
+             i % 4 == 0, i % 9 if i % 8 else None) for i in range(2000)]
+    facts = spark.createDataFrame(
+        rows, "route_key string, service_period string, delay_seconds int, schedule_relationship string, is_cancelled boolean, "
+        "dwell_seconds int")
+    overrides = spark.createDataFrame([("relief", "R1", "PM Peak", -60), ("relief", "R2", "AM Peak", 45)],
+                                      "scenario string, route_key string, service_period string, delay_change int")
+    measures = ["measured_stops", "p90_delay_seconds", "mean_delay_seconds", "scheduled_stops", "mean_dwell_seconds"]
+    on = ["route_key", "service_period"]
+    given, prepare = [], cubes._prepare
+    monkeypatch.setattr(cubes, "_prepare", lambda rows, *more: given.append(rows) or prepare(rows, *more))
+    found = cubes.cube_scenarios(facts, cubes.Dimensions(None, None, None), overrides, ["relief"], on, measures,
+                                 ["service_period"], members)
+    made = given[0]._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "inline(" in made and "lambda" not in made
+    copied = rt.scenario_facts(facts, overrides, ["relief"], on)
+    expected = cubes.cube_query(copied, cubes.Dimensions(None, None, None), measures, ["service_period"], members, by=["scenario"])
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.select(found.columns).collect()))

@@ -111,3 +111,35 @@ def test_versions_of_a_fact_are_put_together_once_an_override(spark, monkeypatch
     copied = rt.scenario_facts(facts, overrides, ["relief"], on)
     expected = cubes.cube_query(copied, cubes.Dimensions(None, None, None), measures, ["service_period"], members, by=["scenario"])
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.select(found.columns).collect()))
+
+
+def test_days_of_a_cell_are_shuffled_as_words_and_trips_once(spark):
+    rng = random.Random(5)
+    rows = [(dt.date(1996, 3, 1) + dt.timedelta(days=rng.choice((-9700, 0, 1, 2, 40, 63, 64, 65, 700))) if i % 13 else None,
+             rng.choice((None, "A:1", "A:2", "A:3", "A:4")), rng.choice((None, "A:1", "B:2")), rng.choice((None, "t1", "t2", "t3")), i % 3)
+            for i in range(300)]
+    facts = spark.createDataFrame(
+        rows, "service_date date, stop_key string, route_key string, trip_id string, dwell_seconds int")
+    stops = spark.createDataFrame([(f"A:{i}", f"B{i // 3}", f"M{i // 3}", f"S{i // 2}", str(i)) for i in range(1, 4)],
+                                  "stop_key string, borough string, municipality string, station_name string, stop_id string")
+    dims = cubes.Dimensions(None, stops, None)
+    spans = facts.withColumns({"dates": F.array("service_date")})
+    spread = cubes.Spread(facts, lambda column: facts.repartition(3, column), spans, 3)
+    measures = ["scheduled_stops", "service_days", "routes_served", "scheduled_trips", "stops_served", "mean_dwell_seconds"]
+    result = cubes.cube_rollup(spread, dims, measures, ["Geography"])
+    cells: dict = {}
+    for day, stop, route, trip, dwell in rows:
+        i = int(stop[2:]) if stop and stop != "A:4" else None
+        path = ("Unknown",) * 4 if i is None else (f"B{i // 3}", f"M{i // 3}", f"S{i // 2}", str(i))
+        for depth in range(5):
+            cell = cells.setdefault((*path[:depth], *[None] * (4 - depth), 2 ** (4 - depth) - 1), ([], set(), set(), set(), set()))
+            for held, value in zip(cell, (dwell, day, route, trip, stop), strict=True):
+                held.append(value) if isinstance(held, list) else held.update({value} - {None})
+    found = {(r.borough, r.municipality, r.station_name, r.stop_id, r.level_mask): (
+        r.scheduled_stops, r.service_days, r.routes_served, r.scheduled_trips, r.stops_served, round(r.mean_dwell_seconds, 9))
+        for r in result.collect()}
+    assert found == {k: (len(v[0]), *map(len, v[1:]), round(sum(v[0]) / len(v[0]), 9)) for k, v in cells.items()}
+    text = result._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in text and not [line for line in text.splitlines() if "Exchange" in line and "_at#" in line and "level_mask" in line]
+    dated = cubes.cube_query(facts, dims, ["service_days", "scheduled_stops"], ["stop_id"]).collect()
+    assert {r.stop_id: r.service_days for r in dated} == {k[3]: len(v[1]) for k, v in cells.items() if not k[4]}
